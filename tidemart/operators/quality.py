@@ -11,7 +11,6 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,15 +132,17 @@ def mart_checks(categories: Sequence[str] = CATEGORIES) -> dict[str, Checks]:
 
 def run_checks(name: str, df: DataFrame, checks: Checks) -> DataFrame:
     """(check_name, failures) for every rule of one table."""
-    broken: dict[str, Any] = {f"not_null_{c}": _is_missing(c) for c in checks.not_null}
+    broken: dict[str, Column] = {f"not_null_{c}": _is_missing(c) for c in checks.not_null}
     broken |= {f"accepted_values_{c}": _is_unlisted(c, v) for c, v in checks.accepted.items()}
     broken |= {f"accepted_range_{c}": _is_outside(c, *r) for c, r in checks.between.items()}
-    counts = df.agg(*[F.count_if(rule).alias(rule_name) for rule_name, rule in broken.items()])
-    rows = [
-        F.struct(F.lit(f"{name}.{rule}").alias("check_name"), F.col(rule).alias("failures"))
-        for rule in broken
-    ]
-    results = [counts.select(F.inline(F.array(*rows)))]
+    results = []
+    if broken:
+        counts = df.agg(*[F.count_if(is_bad).alias(rule) for rule, is_bad in broken.items()])
+        rows = [
+            F.struct(F.lit(f"{name}.{rule}").alias("check_name"), F.col(rule).alias("failures"))
+            for rule in broken
+        ]
+        results.append(counts.select(F.inline(F.array(*rows))))
     for column in checks.unique:
         results.append(_failures(f"{name}.unique_{column}", unique(df, column)))
     return reduce(DataFrame.unionByName, results)

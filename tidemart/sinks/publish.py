@@ -4,24 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemart.contracts import WAREHOUSE_TABLES
-from tidemart.sources.tables import read_if_exists
+from tidemart.sources.tables import read_if_exists, read_table
 
 Writer = Callable[[DataFrame, str], None]
 
 
-def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Run a write and return its row count without a second execution."""
-    seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get["rows"]
-
-
 def overwrite_table(df: DataFrame, path: str, *partitions: str) -> int:
-    """Replace a lake table.
+    """Replace a lake table and return its row count.
+
+    The count comes from the footers of the files just written, so the plan
+    itself runs once.
 
     For a partitioned table the rows are grouped by partition first, so a day or
     category becomes a few full files rather than one per task, and a large one
@@ -29,7 +26,8 @@ def overwrite_table(df: DataFrame, path: str, *partitions: str) -> int:
     """
     if partitions:
         df = df.hint("rebalance", *partitions)
-    return counted(df, lambda d: d.write.mode("overwrite").partitionBy(*partitions).parquet(path))
+    df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
+    return read_table(df.sparkSession, path).count()
 
 
 def export_single_file(df: DataFrame, path: str) -> None:
@@ -78,9 +76,9 @@ def publish(spark: SparkSession, gold_root: str, write: Writer) -> dict[str, int
         if gold is None:
             loaded[table] = None
             continue
-        declared = spark.createDataFrame([], schema).schema
-        stamped = gold.to(declared).withColumn("loaded_at", F.current_timestamp())
-        loaded[table] = counted(stamped, lambda df, table=table: write(df, table))
+        stamped = gold.to(StructType.fromDDL(schema)).withColumn("loaded_at", F.current_timestamp())
+        write(stamped, table)
+        loaded[table] = gold.count()
     return loaded
 
 

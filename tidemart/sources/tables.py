@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 MISSING = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
 
@@ -42,11 +44,8 @@ def read_typed(spark: SparkSession, path: str, columns: str) -> DataFrame:
 
 def strict_cast(staged: DataFrame, columns: str) -> DataFrame:
     """Select and cast the declared columns; fail the job on the first bad value."""
-    from pyspark.sql import functions as F
-
-    target = staged.sparkSession.createDataFrame([], columns).schema
     casts = []
-    for wanted in target:
+    for wanted in StructType.fromDDL(columns):
         value = F.col(wanted.name).try_cast(wanted.dataType)
         bad = F.col(wanted.name).isNotNull() & value.isNull()
         problem = F.concat(

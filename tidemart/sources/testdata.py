@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemart.contracts import CATEGORIES, DEVICES, KAFKA_RECORD, REVIEW_SOURCE
 from tidemart.operators.silver import clean_events, parse_events, split_orders
+from tidemart.sources.tables import read_table
 from tidemart.streaming.routing import route_events
 
 # --- fixed values: the word list that scores the invented prose of `documents`,
@@ -20,8 +22,20 @@ PROSE_POSITIVE = ["and", "are", "das", "est", "for", "la", "les", "por", "und",
 PROSE_NEGATIVE = ["by", "de", "die", "from", "le", "not", "on", "que", "that", "this", "von"]
 
 
+# --- fixed values: columns of the given tables that are read here
+TABLES = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
+    "orders": "o_orderkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE",
+    "part": "p_partkey BIGINT, p_type STRING",
+    "documents": "doc_id BIGINT, text STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table under its declared schema, so no job runs to infer one."""
+    return read_table(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
 
 
 def _pick(values: list[str], number: Column) -> Column:
@@ -84,7 +98,7 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.pmod("user_number", F.lit(4)).cast("int").alias("partition"),
         (F.col("number") * 2 + F.col("copy")).alias("offset"),
         "timestamp",
-    ).to(spark.createDataFrame([], KAFKA_RECORD).schema)
+    ).to(StructType.fromDDL(KAFKA_RECORD))
 
 
 def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,8 +120,8 @@ def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     distinct ones.
     """
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    orders = table(spark, sf_dir, "orders")
+    parts = table(spark, sf_dir, "part")
     joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
         orders, F.col("l_orderkey") == F.col("o_orderkey")
     )
@@ -122,7 +136,7 @@ def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def review_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`documents` with the stars their labels imply, as raw review records."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
     number = F.col("doc_id")
     good, toxic = F.col("quality") == 1, F.col("toxic") == 1
@@ -140,9 +154,8 @@ def review_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text",
         (F.lit(1704067200000) + number * 3600000).alias("timestamp"),
     )
-    contract = spark.createDataFrame([], REVIEW_SOURCE).schema
     category = _pick(CATEGORIES, F.col("seq"))
-    return shaped.to(contract).withColumn("product_category", category)
+    return shaped.to(StructType.fromDDL(REVIEW_SOURCE)).withColumn("product_category", category)
 
 
 def write_review_slices(spark: SparkSession, sf_dir: str, path: str) -> dict[str, str]:
