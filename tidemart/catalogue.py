@@ -333,23 +333,35 @@ def _labelled(spark, sf_dir):
     )
 
 
+# (application, folder of tables) -> model root and feature table, so that the
+# queries on one model train it once per session.
+_TRAINED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
 def _trained(spark, sf_dir):
-    """(model, all users with their side), features read from a written table."""
-    path = scratch_dir(spark, "features")
-    propensity.with_split(_labelled(spark, sf_dir)).write.parquet(path)
-    users = read_table(spark, path)
-    return propensity.fit_propensity(users.filter("side = 'train'")), users
+    """(version, model, users with their side), trained on the 75 % side."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        root, path = scratch_dir(spark, "models"), scratch_dir(spark, "features")
+        propensity.with_split(_labelled(spark, sf_dir)).write.parquet(path)
+        users = read_table(spark, path)
+        model = propensity.fit_propensity(users.filter("side = 'train'"))
+        propensity.register_model(spark, model, root)
+        _TRAINED[key] = (root, path)
+    root, path = _TRAINED[key]
+    return *propensity.load_model(spark, root), read_table(spark, path)
 
 
 @query
 def propensity_scores(spark, sf_dir):
-    model, users = _trained(spark, sf_dir)
-    return propensity.propensity_table(propensity.predict(model, users), 1).drop("scored_at")
+    version, model, users = _trained(spark, sf_dir)
+    scored = propensity.predict(model, users)
+    return propensity.propensity_table(scored, version).drop("scored_at")
 
 
 @query
 def propensity_metrics(spark, sf_dir):
-    model, users = _trained(spark, sf_dir)
+    _, model, users = _trained(spark, sf_dir)
     validation = users.filter("side = 'validation'")
     return propensity.ranking_metrics(propensity.predict(model, validation))
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tidemart.contracts import BAND_EDGES, BAND_FLOOR
 from tidemart.operators.gold import user_features, user_purchases
-from tidemart.session import ensure_checkpoint_dir
+from tidemart.session import ensure_checkpoint_dir, scratch_dir
+from tidemart.sources.tables import read_table_or_empty
 
 FEATURES = ["sessions_30d", "events_30d", "cart_adds_30d"]
 LABEL = "did_purchase"
@@ -70,10 +71,15 @@ def fit_propensity(training: DataFrame, settings: TreeSettings = TreeSettings())
     Users with the same counts and label are the same training example, so they
     are merged into one weighted row first: the loss is unchanged, while the
     data every boosting round passes over shrinks from users to distinct rows.
+    They are written out, so that no round goes back to the events.
     """
-    ensure_checkpoint_dir(training.sparkSession)
-    merged = training.groupBy(*FEATURES, LABEL).agg(F.count("*").alias("users"))
-    sizes = {row[LABEL]: row["users"] for row in merged.groupBy(LABEL).agg(F.sum("users").alias("users")).collect()}
+    spark = training.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = scratch_dir(spark, "training")
+    training.groupBy(*FEATURES, LABEL).agg(F.count("*").alias("users")).write.parquet(path)
+    merged = spark.read.parquet(path)
+    by_label = merged.groupBy(LABEL).agg(F.sum("users").alias("users"))
+    sizes = {row[LABEL]: row["users"] for row in by_label.collect()}
     total = sum(sizes.values())
     balance = F.coalesce(
         *[F.when(F.col(LABEL) == label, total / (2.0 * n)) for label, n in sizes.items()]
@@ -174,16 +180,18 @@ def ranking_metrics(
 
 # --- model registry -------------------------------------------------------------
 
-REGISTRY = "version INT, trained_at TIMESTAMP, params MAP<STRING,STRING>, metrics MAP<STRING,DOUBLE>"
+REGISTRY = """
+    version INT, trained_at TIMESTAMP,
+    params MAP<STRING,STRING>, metrics MAP<STRING,DOUBLE>
+"""
 
 
 def _registry(spark: SparkSession, root: str) -> DataFrame:
-    from tidemart.sources.tables import read_table_or_empty
-
     return read_table_or_empty(spark, f"{root}/registry", REGISTRY)
 
 
 def register_model(
+    spark: SparkSession,
     model: PipelineModel,
     root: str,
     settings: TreeSettings = TreeSettings(),
@@ -193,7 +201,6 @@ def register_model(
 
     The registry row is written last: a version is only found once it is whole.
     """
-    spark = SparkSession.getActiveSession()
     version = (latest_version(spark, root) or 0) + 1
     model.write().overwrite().save(f"{root}/version={version}")
     params = {name: str(value) for name, value in asdict(settings).items()}
@@ -207,7 +214,9 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return _registry(spark, root).agg(F.max("version")).first()[0]
 
 
-def load_model(spark: SparkSession, root: str, version: int | None = None) -> tuple[int, PipelineModel]:
+def load_model(
+    spark: SparkSession, root: str, version: int | None = None
+) -> tuple[int, PipelineModel]:
     """A registered model and its version; the latest one unless told otherwise."""
     version = latest_version(spark, root) if version is None else version
     if version is None:

@@ -100,7 +100,7 @@ def run_propensity(
     model = fit_propensity(sides.filter("side = 'train'"), settings)
     validation = predict(model, sides.filter("side = 'validation'"))
     metrics = ranking_metrics(validation).first().asDict()
-    register_model(model, lake.models, settings, {k: v for k, v in metrics.items() if k != "users"})
+    register_model(spark, model, lake.models, settings, {k: v for k, v in metrics.items() if k != "users"})
     version, latest = load_model(spark, lake.models)
     scores = propensity_table(predict(latest, features), version)
     return version, overwrite_table(scores, lake.gold("user_propensity"))
