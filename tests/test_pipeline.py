@@ -10,16 +10,18 @@ from tidemart.functions.sentiment import lexicon_sentiment
 from tidemart.operators import quality
 from tidemart.operators.propensity import TreeSettings
 from tidemart.plans import pipeline
-from tidemart.session import scratch_dir, shared_root
+from tidemart.session import cluster_settings, scratch_dir, shared_root
 from tidemart.sinks import publish as sinks
 from tidemart.sources import tables, testdata
+from tidemart.sources.kafka import file_stream
 
 
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
     lake = pipeline.Lake(str(tmp_path_factory.mktemp("lake")))
-    catalogue._drain_bronze(spark, SF_TINY, lake)
-    catalogue._drain_silver(spark, lake, "silver")
+    log = file_stream(spark, catalogue._land_records(spark, SF_TINY, lake))
+    pipeline.run_bronze(lake, log).awaitTermination()
+    pipeline.run_silver(spark, lake, maxFilesPerTrigger="4").awaitTermination()
     return lake
 
 
@@ -68,10 +70,19 @@ def test_every_job_in_order(spark, lake):
     assert back.count() == rows["daily_sales"]
 
 
-def test_single_file_export_is_one_file(spark, tmp_path):
-    df = spark.range(100).repartition(5)
-    sinks.export_single_file(df, str(tmp_path / "one"))
+def test_exports_are_one_file_while_small(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).repartition(5).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert sinks.export_files(df, str(tmp_path / "one")) == 1
     assert len(list((tmp_path / "one").glob("*.parquet"))) == 1
+    assert sinks.export_files(df, str(tmp_path / "few"), rows_per_file=40) == 3
+    assert spark.read.parquet(str(tmp_path / "few")).count() == 100
+
+
+def test_cluster_settings_follow_the_data():
+    settings = cluster_settings(100 * 2**40)
+    assert settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "409600"
 
 
 def test_partitioned_overwrite_replaces_the_table(spark, tmp_path):

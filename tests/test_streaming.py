@@ -77,6 +77,19 @@ def test_the_first_write_wins(spark, lake, log):
     assert [r.device for r in lake.events.read(spark).collect()] == ["mobile"]
 
 
+def test_same_day_lookup_reads_only_the_days_of_the_batch(spark, lake, log):
+    table = silver.events_table(lake.events.path, same_day_copies=True)
+
+    def insert(payloads, batch):
+        clean = silver.clean_events(silver.parse_events(log(payloads))).persist()
+        silver.insert_new(clean, table, "s1", batch)
+
+    other = {"event_ts": "2026-08-01T00:00:00Z"}
+    insert([event("e1"), event("e2", **other)], 0)
+    insert([event("e1"), event("e2", **other), event("e3")], 1)
+    assert sorted(r.event_id for r in table.read(spark).collect()) == ["e1", "e2", "e3"]
+
+
 def test_a_replayed_batch_rewrites_only_itself(spark, lake, log):
     def insert(payloads, batch, stream="s1"):
         clean = silver.clean_events(silver.parse_events(log(payloads))).persist()

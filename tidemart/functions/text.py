@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# (?U) widens \s from ASCII to all Unicode white space.
+# (?U) widens white space from ASCII to all of Unicode.
 WHITESPACE_RUN = r"(?U)\s+"
-EDGE_WHITESPACE = r"(?U)^\s+|\s+$"
+VISIBLE = r"(?U)\S"
 
 
-def strip(text: Column) -> Column:
-    """Drop leading and trailing white space; NULL becomes the empty string."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), EDGE_WHITESPACE, "")
+def is_blank(text: str) -> Column:
+    """No character but white space; NULL is blank. Stops at the first visible one."""
+    return ~F.coalesce(F.rlike(text, F.lit(VISIBLE)), F.lit(False))
 
 
-def squash(text: Column) -> Column:
-    """Collapse each run of white space to one space."""
-    return F.regexp_replace(text, WHITESPACE_RUN, " ")
+def squash(text: str) -> Column:
+    """Collapse each run of white space to one space and drop it at both ends."""
+    return F.trim(F.regexp_replace(text, WHITESPACE_RUN, " "))
 
 
 def clip(text: Column, chars: int | None) -> Column:

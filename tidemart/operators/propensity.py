@@ -196,13 +196,19 @@ def register_model(
     root: str,
     settings: TreeSettings = TreeSettings(),
     metrics: Mapping[str, float | None] | None = None,
+    training: DataFrame | None = None,
 ) -> int:
     """Save the model as the next version and record its parameters and metrics.
 
+    With the ``training`` rows given, three of them are kept as an input example.
+
     The registry row is written last: a version is only found once it is whole.
     """
     version = (latest_version(spark, root) or 0) + 1
     model.write().overwrite().save(f"{root}/version={version}")
+    if training is not None:
+        example = training.select(*FEATURES).limit(3)
+        example.write.mode("overwrite").json(f"{root}/examples/version={version}")
     params = {name: str(value) for name, value in asdict(settings).items()}
     row = (version, dt.datetime.now(), params, dict(metrics or {}))
     entry = spark.createDataFrame([row], REGISTRY)

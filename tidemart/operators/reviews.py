@@ -14,7 +14,7 @@ from tidemart.contracts import (
     REVIEW_TITLE_CHARS,
     REVIEWS_PER_CATEGORY,
 )
-from tidemart.functions.text import clip, squash, strip
+from tidemart.functions.text import clip, is_blank, squash
 from tidemart.operators.keyed import lowest_n
 
 
@@ -46,14 +46,13 @@ def type_reviews(
     text_chars: int | None = REVIEW_TEXT_CHARS,
 ) -> DataFrame:
     """Raw review records (with their category) to the review table."""
-    body = strip(F.col("text"))
     stars = F.coalesce("rating", F.lit(0.0)).cast("int")
     millis = F.coalesce("timestamp", F.lit(0).cast("bigint"))
-    return records.filter((F.length(body) > 0) & stars.between(1, 5)).select(
+    return records.filter(stars.between(1, 5) & ~is_blank("text")).select(
         F.concat_ws("-", "product_category", F.col("seq").cast("string")).alias("review_id"),
         "product_category",
         stars.alias("star_rating"),
         clip(F.coalesce("title", F.lit("")), title_chars).alias("review_title"),
-        clip(squash(body), text_chars).alias("review_text"),
+        clip(squash("text"), text_chars).alias("review_text"),
         F.to_date(F.timestamp_millis(millis)).alias("review_date"),
     )

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
-from tidemart.functions.sentiment import lexicon_sentiment, score_reviews
+from tidemart.contracts import BRONZE
+from tidemart.functions.sentiment import lexicon_sentiment, score_reviews, spread
 from tidemart.operators.gold import daily_sales, funnel_daily, user_features
 from tidemart.operators.propensity import (
     TreeSettings,
@@ -21,9 +25,12 @@ from tidemart.operators.propensity import (
 )
 from tidemart.operators.reviews import load_reviews
 from tidemart.plans import marts, staging
-from tidemart.sinks.publish import Writer, export_single_file, overwrite_table, publish
+from tidemart.sinks.publish import Writer, export_files, overwrite_table, publish
+from tidemart.sources.kafka import file_stream
 from tidemart.sources.tables import read_table
-from tidemart.streaming.silver import events_table, orders_table
+from tidemart.streaming.bronze import start_bronze
+from tidemart.streaming.silver import events_table, orders_table, start_silver
+from tidemart.streaming.triggers import DRAIN
 
 
 @dataclass(frozen=True)
@@ -62,6 +69,24 @@ class Lake:
         return f"{self.root}/checkpoints/{name}"
 
 
+def run_bronze(lake: Lake, records: DataFrame, trigger: Mapping[str, Any] = DRAIN) -> StreamingQuery:
+    """Start landing a stream of Kafka records."""
+    return start_bronze(records, lake.bronze, lake.checkpoint("bronze"), trigger)
+
+
+def run_silver(
+    spark: SparkSession, lake: Lake, trigger: Mapping[str, Any] = DRAIN, **source: str
+) -> StreamingQuery:
+    """Start the keyed upserts from bronze; ``source`` are file stream options."""
+    return start_silver(
+        file_stream(spark, lake.bronze, BRONZE, **source),
+        events_table(lake.silver_events),
+        orders_table(lake.silver_orders),
+        lake.checkpoint("silver"),
+        trigger,
+    )
+
+
 def run_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
     """Rebuild the gold aggregates and their single-file exports."""
     events = events_table(lake.silver_events).read(spark)
@@ -72,10 +97,8 @@ def run_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
         "user_features": user_features(events, orders, unique_orders=True),
     }
     rows = {name: overwrite_table(df, lake.gold(name)) for name, df in tables.items()}
-    for name in ("daily_sales", "funnel_daily"):
-        export_single_file(read_table(spark, lake.gold(name)), lake.export(name))
-    # One row per user grows with the data, so its export keeps its files.
-    overwrite_table(read_table(spark, lake.gold("user_features")), lake.export("user_features"))
+    for name in tables:
+        export_files(read_table(spark, lake.gold(name)), lake.export(name))
     return rows
 
 
@@ -85,9 +108,16 @@ def run_reviews(spark: SparkSession, lake: Lake, paths_by_category: Mapping[str,
 
 
 def run_sentiment(
-    spark: SparkSession, lake: Lake, sentiment: Callable[[str], Column] = lexicon_sentiment
+    spark: SparkSession,
+    lake: Lake,
+    sentiment: Callable[[str], Column] = lexicon_sentiment,
+    min_tasks: int | None = None,
 ) -> int:
-    scored = score_reviews(read_table(spark, lake.reviews), sentiment)
+    """Score the review table; a heavy model may ask for ``min_tasks`` at least."""
+    reviews = read_table(spark, lake.reviews)
+    if min_tasks is not None:
+        reviews = spread(reviews, min_tasks)
+    scored = score_reviews(reviews, sentiment)
     return overwrite_table(scored, lake.gold("review_sentiment"))
 
 
@@ -97,10 +127,12 @@ def run_propensity(
     """Train on the gold features, register, score every user: (version, users)."""
     features = read_table(spark, lake.gold("user_features"))
     sides = with_split(features)
-    model = fit_propensity(sides.filter("side = 'train'"), settings)
+    training = sides.filter("side = 'train'")
+    model = fit_propensity(training, settings)
     validation = predict(model, sides.filter("side = 'validation'"))
     metrics = ranking_metrics(validation).first().asDict()
-    register_model(spark, model, lake.models, settings, {k: v for k, v in metrics.items() if k != "users"})
+    logged = {name: value for name, value in metrics.items() if name != "users"}
+    register_model(spark, model, lake.models, settings, logged, training)
     version, latest = load_model(spark, lake.models)
     scores = propensity_table(predict(latest, features), version)
     return version, overwrite_table(scores, lake.gold("user_propensity"))
@@ -133,7 +165,12 @@ def build_marts(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def run_marts(raw: Mapping[str, DataFrame], write: Writer) -> None:
-    """Materialise the marts; the staging models stay views."""
-    for name, mart in build_marts(raw).items():
-        write(mart, name)
+def run_marts(raw: Mapping[str, DataFrame], write: Writer, threads: int = 4) -> None:
+    """Materialise the marts; the staging models stay views.
+
+    The marts do not depend on each other, so their jobs are submitted together.
+    """
+    with ThreadPoolExecutor(threads) as pool:
+        jobs = [pool.submit(write, mart, name) for name, mart in build_marts(raw).items()]
+        for job in jobs:
+            job.result()

@@ -13,8 +13,12 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Review texts reach 100 KB and more; bound Arrow batches by bytes as well.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 
+MIB = 1024 * 1024
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
@@ -23,6 +27,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cluster_settings(shuffle_bytes: int, partition_bytes: int = 256 * MIB) -> dict[str, str]:
+    """Settings to start a cluster session with, for a given largest shuffle.
+
+    The initial partition count is sized for the data; the adaptive planner
+    merges small partitions again, so a generous count costs little, whereas too
+    few partitions spill. Scans read splits of the same size.
+    """
+    partitions = max(200, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.parquet.mergeSchema": "false",
+        "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
+    }
+
+
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (

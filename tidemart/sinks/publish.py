@@ -1,4 +1,4 @@
-"""Batch sinks: lake tables, single-file exports, warehouse tables, CSV."""
+"""Batch sinks: lake tables, compact exports, warehouse tables, CSV."""
 
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ from tidemart.sources.tables import read_if_exists, read_table
 
 Writer = Callable[[DataFrame, str], None]
 
+ROWS_PER_EXPORT = 1_000_000
+
 
 def overwrite_table(df: DataFrame, path: str, *partitions: str) -> int:
     """Replace a lake table and return its row count.
@@ -30,13 +32,16 @@ def overwrite_table(df: DataFrame, path: str, *partitions: str) -> int:
     return read_table(df.sparkSession, path).count()
 
 
-def export_single_file(df: DataFrame, path: str) -> None:
-    """One Parquet file, for aggregates of a few thousand rows only.
+def export_files(written: DataFrame, path: str, rows_per_file: int = ROWS_PER_EXPORT) -> int:
+    """Export a written table as few files, one while it is small; file count.
 
-    The table is read back from the lake first by the caller: coalescing a
-    plan would also run its computation in one task.
+    ``written`` must be a plain table scan: coalescing a longer plan would run
+    its whole computation in as few tasks. Its rows are counted from file
+    footers, and every ``rows_per_file`` of them get another file.
     """
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    files = max(1, -(-written.count() // rows_per_file))
+    written.coalesce(files).write.mode("overwrite").parquet(path)
+    return files
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -33,9 +33,18 @@ BROADCAST_KEY_BYTES = 64 * 1024 * 1024
 
 @dataclass(frozen=True)
 class KeyedTable:
+    """A table unique by ``key``.
+
+    ``same_day_copies`` states that copies of a key always carry the same
+    ``event_date``, as they do when a producer resends a record unchanged. A
+    batch is then only checked against the partitions from its first day to its
+    last. Without that promise every stored key is looked at.
+    """
+
     path: str
     key: str
     schema: str
+    same_day_copies: bool = False
 
     def stored(self, spark: SparkSession) -> DataFrame:
         """All rows with their lineage columns; empty before the first write."""
@@ -46,12 +55,12 @@ class KeyedTable:
         return self.stored(spark).drop(*LINEAGE)
 
 
-def events_table(path: str) -> KeyedTable:
-    return KeyedTable(path, "event_id", SILVER_EVENTS)
+def events_table(path: str, same_day_copies: bool = False) -> KeyedTable:
+    return KeyedTable(path, "event_id", SILVER_EVENTS, same_day_copies)
 
 
-def orders_table(path: str) -> KeyedTable:
-    return KeyedTable(path, "order_id", SILVER_ORDERS)
+def orders_table(path: str, same_day_copies: bool = False) -> KeyedTable:
+    return KeyedTable(path, "order_id", SILVER_ORDERS, same_day_copies)
 
 
 def unseen(
@@ -81,7 +90,11 @@ def insert_new(batch: DataFrame, table: KeyedTable, stream_id: str, batch_id: in
     """
     stored = table.stored(batch.sparkSession)
     replaced = (F.col("stream_id") == stream_id) & (F.col("batch_id") >= batch_id)
-    fresh = unseen(batch, stored.filter(~replaced), table.key)
+    others = stored.filter(~replaced)
+    if table.same_day_copies:
+        first, last = batch.agg(F.min("event_date"), F.max("event_date")).first()
+        others = others.filter(F.col("event_date").between(F.lit(first), F.lit(last)))
+    fresh = unseen(batch, others, table.key)
     stamped = fresh.hint("rebalance", "event_date").withColumns(
         {"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("bigint")}
     )
