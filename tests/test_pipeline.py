@@ -1,10 +1,11 @@
+import ast
 import datetime as dt
 
 import pytest
 from conftest import SF_TINY
 from pyspark.errors import AnalysisException, SparkRuntimeException
 
-from tidemart import catalogue
+from tidemart import catalogue, jobs
 from tidemart.contracts import CATEGORIES, RAW_DAILY_SALES
 from tidemart.functions.sentiment import lexicon_sentiment
 from tidemart.operators import quality
@@ -19,7 +20,8 @@ from tidemart.sources.kafka import file_stream
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
     lake = pipeline.Lake(str(tmp_path_factory.mktemp("lake")))
-    log = file_stream(spark, catalogue._land_records(spark, SF_TINY, lake))
+    testdata.kafka_records(spark, SF_TINY).repartition(6).write.parquet(f"{lake.root}/log")
+    log = file_stream(spark, f"{lake.root}/log", maxFilesPerTrigger="3")
     pipeline.run_bronze(lake, log).awaitTermination()
     pipeline.run_silver(spark, lake, maxFilesPerTrigger="4").awaitTermination()
     return lake
@@ -55,6 +57,8 @@ def test_every_job_in_order(spark, lake):
     }
     raw = {name: spark.table(f"shop_raw.{name}") for name in loaded}
     assert all("loaded_at" in df.columns for df in raw.values())
+    pipeline.register_views(pipeline.staged(raw), "stg_")
+    assert spark.sql("SELECT count(*) FROM stg_funnel_daily").first()[0] == 30
     pipeline.run_marts(raw, sinks.catalog_writer("shop_marts"))
     names = ["fct_daily_revenue", "fct_funnel_conversion", "fct_category_sentiment"]
     marts = {name: spark.table(f"shop_marts.{name}") for name in [*names, "dim_user_segments"]}
@@ -70,6 +74,36 @@ def test_every_job_in_order(spark, lake):
     assert back.count() == rows["daily_sales"]
 
 
+def test_jobs_from_the_command_line(spark, tmp_path, capsys):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    testdata.kafka_records(spark, SF_TINY).write.parquet(log)
+    spark.sql("CREATE DATABASE IF NOT EXISTS job_raw")
+    spark.sql("CREATE DATABASE IF NOT EXISTS job_marts")
+    slices = testdata.write_review_slices(spark, SF_TINY, str(tmp_path / "corpus"))
+    databases = ["--database", "job_raw", "--marts-database", "job_marts"]
+    features = f"{root}/gold/user_propensity"
+    for arguments in (
+        ["bronze", "--files", log],
+        ["silver", "--max-bytes", "1000000"],
+        ["gold"],
+        ["reviews", *[f"{category}={path}" for category, path in slices.items()]],
+        ["sentiment"],
+    ):
+        jobs.main(["--root", root, *arguments])
+    scores = catalogue._raw_propensity(spark, SF_TINY).drop("loaded_at")
+    scores.write.parquet(features)
+    for arguments in (["publish", "--database", "job_raw"], ["marts", *databases]):
+        jobs.main(["--root", root, *arguments])
+    jobs.main(["--root", root, "csv", "--marts-database", "job_marts"])
+    capsys.readouterr()
+    jobs.main(["--root", root, "checks", *databases])
+    report = ast.literal_eval(capsys.readouterr().out)
+    assert len(report) == 17 + 4
+    assert report["dim_user_segments.unique_user_id"] == 0
+    assert report["raw_daily_sales"] == "pass"
+    assert spark.read.option("header", True).csv(f"{root}/csv/dim_user_segments").count() > 0
+
+
 def test_exports_are_one_file_while_small(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(100).repartition(5).write.parquet(path)

@@ -32,14 +32,15 @@ from tidemart.operators import gold, propensity, quality
 from tidemart.operators.reviews import load_reviews, type_reviews
 from tidemart.operators.silver import reject_events
 from tidemart.plans import dashboards, marts, staging
-from tidemart.plans.pipeline import Lake
+from tidemart.plans.pipeline import Lake, run_bronze, run_silver
 from tidemart.session import configure, scratch_dir
 from tidemart.sinks import publish as sinks
 from tidemart.sources import testdata as td
 from tidemart.sources.kafka import file_stream
 from tidemart.sources.tables import read_table, read_typed
-from tidemart.streaming import bronze, ingest, silver
+from tidemart.streaming import ingest
 from tidemart.streaming.routing import route_events
+from tidemart.streaming.silver import events_table, orders_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -370,39 +371,35 @@ def propensity_metrics(spark, sf_dir):
 # --- streaming -------------------------------------------------------------------------
 
 
-def _land_records(spark, sf_dir, lake: Lake) -> str:
-    """The log records as several files, standing in for the topics."""
-    path = f"{lake.root}/log"
-    td.kafka_records(spark, sf_dir).repartition(4).write.parquet(path)
-    return path
+def _topic_halves(spark, sf_dir) -> list[DataFrame]:
+    """All log records, in the two parts they are delivered in."""
+    records = td.kafka_records(spark, sf_dir)
+    early = F.col("partition") < 2
+    return [records.filter(early), records.filter(~early)]
 
 
-def _drain_bronze(spark, sf_dir, lake: Lake) -> None:
-    log = file_stream(spark, _land_records(spark, sf_dir, lake), KAFKA_RECORD, maxFilesPerTrigger="2")
-    bronze.start_bronze(log, lake.bronze, lake.checkpoint("bronze")).awaitTermination()
+def _deliver(spark, lake: Lake, records: DataFrame) -> None:
+    """Append records to the files standing in for the topics, then land them."""
+    records.write.mode("append").parquet(f"{lake.root}/log")
+    run_bronze(lake, file_stream(spark, f"{lake.root}/log", KAFKA_RECORD)).awaitTermination()
 
 
-def _drain_silver(spark, lake: Lake, checkpoint: str, files: str = "4"):
-    events = silver.events_table(lake.silver_events)
-    orders = silver.orders_table(lake.silver_orders)
-    stream = file_stream(spark, lake.bronze, BRONZE, maxFilesPerTrigger=files)
-    silver.start_silver(stream, events, orders, lake.checkpoint(checkpoint)).awaitTermination()
-    return events, orders
-
-
-def _upserted(spark, sf_dir):
-    """Bronze drained into silver in two batches, then once more from scratch, as
-    after a lost checkpoint; the second pass must add nothing."""
+def _upserted(spark, sf_dir) -> Lake:
+    """Two deliveries drained into silver, then all of bronze once more without
+    its checkpoint; that last pass must add nothing."""
     lake = Lake(scratch_dir(spark, "lake"))
-    _drain_bronze(spark, sf_dir, lake)
-    _drain_silver(spark, lake, "silver")
-    return _drain_silver(spark, lake, "silver-restarted", files="1000")
+    for records in _topic_halves(spark, sf_dir):
+        _deliver(spark, lake, records)
+        run_silver(spark, lake).awaitTermination()
+    run_silver(spark, lake, checkpoint="silver-restarted").awaitTermination()
+    return lake
 
 
 @query
 def stream_bronze(spark, sf_dir):
     lake = Lake(scratch_dir(spark, "lake"))
-    _drain_bronze(spark, sf_dir, lake)
+    for records in _topic_halves(spark, sf_dir):
+        _deliver(spark, lake, records)
     landed = spark.read.schema(BRONZE).parquet(lake.bronze)
     return landed.groupBy("topic", "partition").agg(
         F.count("*").alias("records"),
@@ -415,13 +412,13 @@ def stream_bronze(spark, sf_dir):
 
 @query
 def upsert_events(spark, sf_dir):
-    events, _ = _upserted(spark, sf_dir)
+    events = events_table(_upserted(spark, sf_dir).silver_events)
     return events.read(spark).select("event_id", "event_type", "user_id", "event_ts", "event_date")
 
 
 @query
 def upsert_orders(spark, sf_dir):
-    _, orders = _upserted(spark, sf_dir)
+    orders = orders_table(_upserted(spark, sf_dir).silver_orders)
     return orders.read(spark).select("order_id", "user_id", "event_date", "quantity", "order_total")
 
 
@@ -429,12 +426,15 @@ STAGED_SALES = "order_date DATE, product_category STRING, orders BIGINT, units B
 
 
 def _ingested(spark, sf_dir):
-    """Line sales staged as files per category and loaded, then loaded again."""
+    """Line sales staged in two deliveries, each loaded as it comes, and one more
+    load with nothing new."""
     root = scratch_dir(spark, "ingest")
-    sales = daily_sales_tpch(spark, sf_dir).withColumn("revenue", F.col("revenue").cast("double"))
     stage = f"{root}/stage"
-    sales.repartition(3, "product_category").write.parquet(stage)
-    for _ in range(2):
+    sales = daily_sales_tpch(spark, sf_dir).withColumn("revenue", F.col("revenue").cast("double"))
+    early = F.col("order_date") < dt.date(1997, 1, 1)
+    for delivery in (sales.filter(early), sales.filter(~early), None):
+        if delivery is not None:
+            delivery.write.mode("append").parquet(stage)
         ingest.start_ingest(
             spark, stage, STAGED_SALES, RAW_DAILY_SALES, f"{root}/raw", f"{root}/checkpoint"
         ).awaitTermination()

@@ -75,14 +75,22 @@ def run_bronze(lake: Lake, records: DataFrame, trigger: Mapping[str, Any] = DRAI
 
 
 def run_silver(
-    spark: SparkSession, lake: Lake, trigger: Mapping[str, Any] = DRAIN, **source: str
+    spark: SparkSession,
+    lake: Lake,
+    trigger: Mapping[str, Any] = DRAIN,
+    checkpoint: str = "silver",
+    **source: str,
 ) -> StreamingQuery:
-    """Start the keyed upserts from bronze; ``source`` are file stream options."""
+    """Start the keyed upserts from bronze.
+
+    ``source`` are file stream options; ``maxBytesPerTrigger`` splits a long
+    backlog into batches whose keys stay within the broadcast limit.
+    """
     return start_silver(
         file_stream(spark, lake.bronze, BRONZE, **source),
         events_table(lake.silver_events),
         orders_table(lake.silver_orders),
-        lake.checkpoint("silver"),
+        lake.checkpoint(checkpoint),
         trigger,
     )
 
@@ -152,6 +160,12 @@ def staged(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def register_views(models: Mapping[str, DataFrame], prefix: str = "") -> None:
+    """Make models available to ``spark.sql`` under their names."""
+    for name, model in models.items():
+        model.createOrReplaceTempView(f"{prefix}{name}")
+
+
 def build_marts(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The four marts from the four raw tables."""
     stage = staged(raw)
