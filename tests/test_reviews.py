@@ -2,11 +2,11 @@ import datetime as dt
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tidemart.contracts import REVIEW_SOURCE, REVIEWS
 from tidemart.functions import sentiment as sent
 from tidemart.operators.reviews import load_reviews, type_reviews
-from pyspark.sql import functions as F
 
 
 @pytest.fixture
@@ -36,6 +36,14 @@ def test_limit_counts_blank_records_and_drops_them_after(spark, slices):
     assert kept[0].__fields__ == [c.split()[0] for c in REVIEWS.replace("\n", "").split(",")]
 
 
+def test_slices_can_be_json_lines(spark, tmp_path):
+    line = '{"seq": %d, "rating": 4.5, "title": "t", "text": "line %d", "timestamp": 0, "x": 1}'
+    (tmp_path / "books.jsonl").write_text("\n".join(line % (i, i) for i in range(5)))
+    paths = {"books": str(tmp_path / "books.jsonl")}
+    kept = load_reviews(spark, paths, limit=2, fmt="json").collect()
+    assert sorted(r.review_text for r in kept) == ["line 0", "line 1"]
+
+
 def test_text_rules(spark):
     rows = [
         (0, 3.0, "x" * 300, "a" * 2500, None),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.contracts import BRONZE
-from tidemart.functions.sentiment import lexicon_sentiment, score_reviews, spread
+from tidemart.functions.sentiment import lexicon_sentiment, score_reviews
 from tidemart.operators.gold import daily_sales, funnel_daily, user_features
 from tidemart.operators.propensity import (
     TreeSettings,
@@ -27,7 +27,7 @@ from tidemart.operators.reviews import load_reviews
 from tidemart.plans import marts, staging
 from tidemart.sinks.publish import Writer, export_files, overwrite_table, publish
 from tidemart.sources.kafka import file_stream
-from tidemart.sources.tables import read_table
+from tidemart.sources.tables import read_table, spread
 from tidemart.streaming.bronze import start_bronze
 from tidemart.streaming.silver import events_table, orders_table, start_silver
 from tidemart.streaming.triggers import DRAIN

@@ -34,6 +34,17 @@ def read_table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFram
     return spark.createDataFrame([], schema) if found is None else found
 
 
+def spread(table: DataFrame, min_tasks: int) -> DataFrame:
+    """A table scan over at least ``min_tasks`` tasks.
+
+    For work that costs far more than the read (decoding, a model), on files too
+    few to occupy the executors. Larger tables already come in enough splits
+    and are not shuffled.
+    """
+    enough = table.rdd.getNumPartitions() >= min_tasks
+    return table if enough else table.repartition(min_tasks)
+
+
 def read_typed(spark: SparkSession, path: str, columns: str) -> DataFrame:
     """Columns of staged files cast to a declared schema; a bad value is an error.
 

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from tidemart.contracts import CATEGORIES, DEVICES, KAFKA_RECORD, REVIEW_SOURCE
 from tidemart.operators.silver import clean_events, parse_events, split_orders
-from tidemart.sources.tables import read_table
+from tidemart.sources.tables import read_table, spread
 from tidemart.streaming.routing import route_events
 
 # --- fixed values: the word list that scores the invented prose of `documents`,
@@ -44,8 +44,13 @@ def _pick(values: list[str], number: Column) -> Column:
 
 
 def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`events` as contract events, plus the log columns ``number`` and ``ts``."""
-    events = table(spark, sf_dir, "events")
+    """`events` as contract events, plus the log columns ``number`` and ``ts``.
+
+    Encoding and decoding the payloads is spread over the cores as the topic
+    partitions would spread it, in case the file has too few splits.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    events = spread(table(spark, sf_dir, "events"), cores)
     number, purchase = F.col("event_id"), F.col("event_type") == "purchase"
     kind = (
         F.when(F.col("event_type") == "view", "page_view")
