@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, language, mixing, token_counts, toxicity
+from tidemart.llm import bpe, language, lm, mixing, parsing, simhash, token_counts, token_files, topk, toxicity
 from tidemart.llm.common import fold
 from tidemart.session import configure
 
@@ -65,6 +65,12 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
@@ -75,6 +81,27 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer(PIECE_BPE))
 
 
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE))
+
+
+@query
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_parsing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.compare_edited(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
