@@ -3,7 +3,7 @@
 Learning. A token's weight is its log-odds of standing in a toxic rather than in
 a clean labelled document, with an informative Dirichlet prior: each class is
 given the corpus' token proportions as pseudo-counts. Tokens whose weight is at
-least ``LEAST_Z`` standard errors above zero keep it (at most ``LEXICON``, the
+least ``LEAST_Z`` standard errors above zero (or about as many as the surest token's) keep it (at most ``LEXICON``, the
 surest first, so the broadcast lexicon is bounded); all other tokens cost
 ``DRIFT``. At most about ``PER_CLASS`` labelled rows of each class are used,
 drawn by a hash of the key; the bound is documented and only concerns fitting.
@@ -36,7 +36,7 @@ from tidemart.llm.common import fold, map_batches, narrow, text_chunks
 
 PER_CLASS = 20_000
 LEXICON = 50_000
-LEAST_Z = 3.0
+LEAST_Z = 2.5
 DRIFT = -0.25
 SIGNIFICANT = 0.05
 THRESHOLD = 0.3
@@ -198,11 +198,13 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, lexico
         kept = (
             counted.where((F.col("token") != "") & (F.col("toxic") > 0))
             .select("token", "clean", weight.alias("weight"), (weight / error).alias("z"))
-            .where(F.col("z") >= LEAST_Z)
+            .where(F.col("z") > 1)
             .orderBy(F.desc("z"), "token")
             .limit(lexicon)
             .collect()
         )
+        # With so few labels that no token is sure enough, those about as sure as the surest count.
+        kept = [r for r in kept if r["z"] >= min(LEAST_Z, kept[0]["z"] - 0.5)]
         clean_tokens = counted.where(F.col("token") == "").first()["clean"]
     finally:
         counted.unpersist()
