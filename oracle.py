@@ -189,6 +189,47 @@ FRAGMENTS = {
         FROM category_totals t LEFT JOIN (
             SELECT product_category, sum(revenue) AS total_revenue FROM sales GROUP BY 1) r
             ON t.product_category = r.product_category""",
+    "odd_payloads": """
+        SELECT * REPLACE (
+            CASE WHEN number % 40 <> 1 THEN event_id END AS event_id,
+            CASE WHEN number % 40 <> 2 THEN user_id END AS user_id,
+            CASE WHEN number % 40 = 3 THEN '' ELSE session_id END AS session_id,
+            CASE WHEN number % 40 <> 4 THEN event_ts END AS event_ts,
+            CASE WHEN number % 40 <> 4 THEN event_date END AS event_date,
+            CASE WHEN order_id IS NOT NULL AND number % 7 = 3
+                THEN 'pair-' || number // 14 ELSE order_id END AS order_id,
+            CASE WHEN order_id IS NOT NULL AND number % 11 = 2
+                THEN 'NaN'::DOUBLE ELSE order_total END AS order_total)
+        FROM payloads WHERE number % 40 NOT IN (5, 6)""",
+    "odd_silver": """
+        SELECT CASE WHEN event_type = 'purchase' THEN 'orders' ELSE 'clickstream' END AS topic,
+            (user_number % 4)::INTEGER AS "partition", number AS "offset",
+            ts AS kafka_ts, p.* EXCLUDE (number, user_number, ts)
+        FROM odd_payloads p
+        WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND event_ts IS NOT NULL
+            AND event_type IN ('page_view','product_view','add_to_cart','checkout','purchase')""",
+    "odd_revenue": """
+        SELECT * REPLACE (
+            CASE WHEN product_category = 'books' AND day(order_date) % 3 = 1 THEN 2.0
+                ELSE category_revenue_share END AS category_revenue_share,
+            CASE WHEN product_category <> 'books' OR day(order_date) % 4 <> 1 THEN revenue END
+                AS revenue,
+            CASE WHEN product_category <> 'books' OR day(order_date) % 5 <> 1
+                THEN product_category END AS product_category)
+        FROM revenue""",
+    "odd_conversion": """
+        SELECT * FROM conversion
+        UNION ALL SELECT * FROM conversion WHERE day(event_date) = 1
+        UNION ALL SELECT * REPLACE (NULL::DATE AS event_date) FROM conversion
+            WHERE day(event_date) = 2""",
+    "odd_category_sentiment": """
+        SELECT * FROM category_sentiment
+        UNION ALL SELECT * FROM category_sentiment WHERE product_category = 'books'
+        UNION ALL SELECT * REPLACE (NULL::VARCHAR AS product_category) FROM category_sentiment
+            WHERE product_category = 'books'""",
+    "odd_segments": """
+        SELECT * REPLACE (CASE WHEN events_30d % 7 <> 2 THEN user_id END AS user_id) FROM (
+            SELECT * FROM segments UNION ALL SELECT * FROM segments WHERE events_30d % 7 = 1)""",
     "steps": """
         SELECT event_date, s.step_no, s.step, s.events, s.previous
         FROM (SELECT event_date, unnest([
@@ -294,6 +335,11 @@ SUITE = [
     "SELECT 'fct_daily_revenue.share_sum' AS check_name, count(*) AS failures FROM "
     + UNEVEN_DAYS.format("revenue"),
 ]
+# The suite over the same marts with the broken rows.
+ODD_SUITE = [
+    re.sub(r"\bFROM (revenue|conversion|category_sentiment|segments)\b", r"FROM odd_\1", check)
+    for check in SUITE
+]
 PERCENT = half_up("(events * 100)", "previous", 2)
 SCORES = """
     SELECT review_id, product_category, star_rating, sentiment_label, sentiment_score,
@@ -337,11 +383,8 @@ QUERIES = {
     "dim_user_segments": _all("segments"),
     "load_review_slices": """
         SELECT product_category || '-' || seq AS review_id, product_category, star_rating,
-            substr(review_title, 1, 200) AS review_title,
-            substr(review_text, 1, 2000) AS review_text, review_date
-        FROM (SELECT *, row_number() OVER (PARTITION BY product_category ORDER BY seq) AS place
-              FROM corpus)
-        WHERE place <= 5000 AND star_rating BETWEEN 1 AND 5 AND review_text <> ''""",
+            review_title, review_text, review_date
+        FROM corpus WHERE star_rating BETWEEN 1 AND 5 AND review_text <> ''""",
     "load_first_reviews": """
         SELECT product_category || '-' || seq AS review_id, product_category, star_rating,
             review_date
@@ -365,7 +408,8 @@ QUERIES = {
             round(sum(pos)::DOUBLE / sum(pos + neg), 9) AS positive_rate,
             round(1 - sum(pos * (fp - neg) + pos * neg / 2.0)::DOUBLE
                 / (sum(pos) * sum(neg))::DOUBLE, 9) AS roc_auc,
-            round(sum(pos * (tp::DOUBLE / (tp + fp))) / sum(pos)::DOUBLE, 9) AS avg_precision
+            round(sum(pos * (tp::DOUBLE / (tp + fp))) / sum(pos)::DOUBLE, 9) AS avg_precision,
+            0::BIGINT AS unranked
         FROM (
             SELECT pos, neg,
                 sum(pos) OVER (ORDER BY propensity_score DESC) AS tp,
@@ -373,14 +417,96 @@ QUERIES = {
             FROM (SELECT propensity_score, count(*) FILTER (WHERE purchases_prior > 0) AS pos,
                     count(*) FILTER (WHERE purchases_prior = 0) AS neg
                   FROM scored_visits GROUP BY 1))""",
+    "propensity_stump": """
+        SELECT * FROM (WITH base AS (
+            SELECT user_id, least(sessions_30d, 31) AS f1, least(events_30d, 31) AS f2,
+                least(cart_adds_30d, 31) AS f3, (purchases_prior > 0)::INTEGER AS y FROM visits),
+        sizes AS (SELECT count(*) AS n, sum(y) AS n1 FROM base),
+        weighted AS (
+            SELECT b.*, (2 * y - 1)::DOUBLE AS t,
+                n::DOUBLE / (2 * CASE WHEN y = 1 THEN n1 ELSE n - n1 END)::DOUBLE AS w
+            FROM base b, sizes),
+        listed AS (
+            SELECT user_id, 1 AS feature, f1 AS v, t, w FROM weighted
+            UNION ALL SELECT user_id, 2, f2, t, w FROM weighted
+            UNION ALL SELECT user_id, 3, f3, t, w FROM weighted),
+        by_value AS (
+            SELECT feature, v, sum(w) AS w, sum(w * t) AS s FROM listed GROUP BY ALL),
+        cuts AS (
+            SELECT feature, v, sum(w) OVER below AS wl, sum(s) OVER below AS sl,
+                sum(w) OVER every AS wt, sum(s) OVER every AS st
+            FROM by_value
+            WINDOW below AS (PARTITION BY feature ORDER BY v), every AS (PARTITION BY feature)),
+        best AS (
+            SELECT *, sl / wl AS low, (st - sl) / (wt - wl) AS high FROM cuts
+            WHERE v < (SELECT max(v) FROM by_value b WHERE b.feature = cuts.feature)
+            ORDER BY round(sl * sl / wl + (st - sl) * (st - sl) / (wt - wl), 9) DESC, feature, v
+            LIMIT 1)
+        SELECT l.user_id,
+            round(1 / (1 + exp(-2 * CASE WHEN l.v <= b.v THEN low ELSE high END)), 9)
+                AS propensity_score
+        FROM listed l JOIN best b ON l.feature = b.feature)""",
+    "propensity_scores": """
+        SELECT count(*) AS users, count(*) AS distinct_users, count(*) AS in_range,
+            count(*) AS in_band, '1' AS model_version FROM labelled""",
+    "propensity_metrics": """
+        SELECT count(*) AS users, 0::BIGINT AS unranked,
+            round(sum(did_purchase)::DOUBLE / count(*), 9) AS positive_rate, 1 AS in_range
+        FROM labelled
+        WHERE ('0x' || substr(md5(user_id || '42'), 1, 8))::UBIGINT % 100 >= 75""",
+    "registry_roundtrip": """
+        SELECT version::INTEGER AS version, 2::INTEGER AS trees, 5::INTEGER AS depth,
+            least(3, (SELECT count(*) FROM labelled
+                WHERE ('0x' || substr(md5(user_id || '42'), 1, 8))::UBIGINT % 100 < 75))::INTEGER
+                AS example_rows
+        FROM range(1, 3) v(version)""",
+    "publish_warehouse": """
+        SELECT table_name, n AS staged_rows, n AS stamped, n AS written, n AS published FROM (
+            SELECT 'raw_daily_sales' AS table_name, count(*) AS n FROM sales
+            UNION ALL SELECT 'raw_funnel_daily', count(*) FROM funnel
+            UNION ALL SELECT 'raw_review_sentiment', count(*) FROM sentiment
+            UNION ALL SELECT 'raw_user_propensity', count(*) FROM scored_visits)""",
+    "odd_events": _all("odd_silver"),
+    "odd_rejects": """
+        SELECT CASE WHEN n % 40 IN (1, 5, 6) THEN 'missing_event_id'
+                WHEN n % 40 = 4 THEN 'missing_event_ts' WHEN n % 40 = 2 THEN 'missing_user_id'
+                ELSE 'unknown_event_type' END AS reject_reason, count(*) AS records
+        FROM (SELECT number AS n, event_type FROM payloads)
+        WHERE n % 40 IN (1, 2, 4, 5, 6) OR event_type = 'error' GROUP BY 1""",
+    "odd_orders": """
+        SELECT order_id, event_ts, event_date, user_id, session_id, device, product_id,
+            product_category, quantity, unit_price, order_total, currency, payment_method
+        FROM odd_silver
+        WHERE event_type = 'purchase' AND order_total > 0 AND NOT isnan(order_total)
+        QUALIFY row_number() OVER (
+            PARTITION BY order_id ORDER BY topic, "partition", "offset") = 1""",
+    "odd_reviews": """
+        SELECT product_category || '-' || seq AS review_id, star_rating,
+            length(review_text)::INTEGER AS chars
+        FROM corpus
+        WHERE seq % 9 NOT IN (1, 2, 3, 4, 5) AND star_rating BETWEEN 1 AND 5 AND review_text <> ''""",
+    "odd_staging": """
+        SELECT 'daily_sales' AS model, count(*) AS rows_kept, sum(orders)::BIGINT AS total,
+            count(DISTINCT product_category) AS distinct_values
+        FROM sales WHERE day(order_date) % 5 <> 2 AND NOT (day(order_date) % 5 = 1 AND revenue > 0)
+        UNION ALL SELECT 'funnel_daily', count(*), sum(page_views)::BIGINT,
+            count(DISTINCT event_date) FROM funnel WHERE day(event_date) % 5 <> 1
+        UNION ALL SELECT 'review_sentiment', count(*), sum(star_rating)::BIGINT,
+            count(DISTINCT sentiment_label)
+        FROM sentiment WHERE split_part(review_id, '-', 2)::BIGINT % 5 NOT IN (1, 2, 3)
+        UNION ALL SELECT 'user_propensity', count(*), sum(events_30d)::BIGINT,
+            count(DISTINCT score_band) FROM scored_visits WHERE events_30d % 5 NOT IN (1, 2, 3)""",
+    "odd_checks": " UNION ALL ".join(ODD_SUITE),
     "stream_bronze": """
         SELECT topic, "partition", count(*) AS records, count(DISTINCT user_id) AS keys,
             min("offset") AS first_offset, max("offset") AS last_offset, count(*) AS stamped
         FROM records GROUP BY ALL""",
-    "upsert_events": "SELECT event_id, event_type, user_id, event_ts, event_date FROM silver",
-    "upsert_orders": "SELECT order_id, user_id, event_date, quantity, order_total FROM silver_orders",
+    "upsert_events": _all("silver"),
+    "upsert_orders": _all("silver_orders"),
     "ingest_files": "SELECT * REPLACE (revenue::DOUBLE AS revenue) FROM line_sales",
-    "load_history": "SELECT count(*) AS rows_loaded FROM line_sales",
+    "load_history": """
+        SELECT CASE WHEN order_date < DATE '1997-01-01' THEN 1 ELSE 2 END::INTEGER AS delivery,
+            count(*) AS rows_loaded FROM line_sales GROUP BY 1""",
     "export_roundtrip": """
         SELECT sink, rows_read, orders, units, revenue, days, categories FROM (
             SELECT count(*) AS rows_read, sum(orders)::BIGINT AS orders,
@@ -429,6 +555,9 @@ QUERIES = {
             AND product_category IN ('economy','promo','standard')""",
     "bi_funnel_steps": f"""
         SELECT event_date, step_no, step, events, {PERCENT} AS pct_of_previous FROM steps""",
+    "bi_funnel_order": """
+        SELECT step, row_number() OVER (ORDER BY events DESC, step_no) - 1 AS place FROM (
+            SELECT step_no, step, sum(events)::BIGINT AS events FROM steps GROUP BY ALL)""",
     "bi_funnel_total": f"""
         SELECT step_no, step, events, {PERCENT} AS pct_of_previous FROM (
             SELECT step_no, step, sum(events)::BIGINT AS events,

@@ -14,6 +14,15 @@ def test_lowest_n_matches_brute_force(spark):
         assert kept == sorted(values)[:n]
 
 
+def test_lowest_n_with_missing_and_equal_positions(spark):
+    values = [3, None, 1, 1, 2, None, 1]
+    df = spark.createDataFrame([(v, f"row {i}") for i, v in enumerate(values)], "seq BIGINT, text STRING")
+    for n in range(1, 9):
+        kept = [r.seq for r in lowest_n(df.repartition(3), "seq", n, lanes=4).collect()]
+        expected = sorted(values, key=lambda v: (v is None, v or 0))[:n]
+        assert sorted(kept, key=lambda v: (v is None, v or 0)) == expected
+
+
 def test_lowest_n_of_nothing(spark):
     assert lowest_n(spark.createDataFrame([], "seq BIGINT"), "seq", 5).count() == 0
 

@@ -43,8 +43,12 @@ def test_every_job_in_order(spark, lake):
     reviews = pipeline.run_reviews(spark, lake, slices)
     assert reviews == 87
     assert pipeline.run_sentiment(spark, lake, lexicon_sentiment) == reviews
-    assert pipeline.run_propensity(spark, lake, TreeSettings(trees=2)) == (1, 15)
-    assert pipeline.run_propensity(spark, lake, TreeSettings(trees=2)) == (2, 15)
+    few = TreeSettings(trees=2)
+    assert pipeline.run_propensity(spark, lake, catalogue.LABEL_DAY, few) == (1, 15)
+    assert pipeline.run_propensity(spark, lake, catalogue.LABEL_DAY, few) == (2, 15)
+    # Everybody has bought by then, so a window over all days has one class only.
+    with pytest.raises(ValueError, match="both classes"):
+        pipeline.run_propensity(spark, lake, dt.date(2024, 1, 2), few)
 
     spark.sql("CREATE DATABASE IF NOT EXISTS shop_raw")
     spark.sql("CREATE DATABASE IF NOT EXISTS shop_marts")
@@ -96,8 +100,20 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
         jobs.main(["--root", root, *arguments])
     jobs.main(["--root", root, "csv", "--marts-database", "job_marts"])
     capsys.readouterr()
-    jobs.main(["--root", root, "checks", *databases])
+    broken = spark.table("job_marts.dim_user_segments").limit(1)
+    rules_hold = False
+    try:
+        jobs.main(["--root", root, "checks", *databases])
+        rules_hold = True
+    except SystemExit as stop:
+        assert stop.code == 1
     report = ast.literal_eval(capsys.readouterr().out)
+    assert rules_hold == all(v in (0, "pass", "warn") for v in report.values())
+    broken.write.mode("append").saveAsTable("job_marts.dim_user_segments")
+    with pytest.raises(SystemExit) as stop:
+        jobs.main(["--root", root, "checks", *databases])
+    assert stop.value.code == 1
+    capsys.readouterr()
     assert len(report) == 17 + 4
     assert report["dim_user_segments.unique_user_id"] == 0
     assert report["raw_daily_sales"] == "pass"
@@ -114,9 +130,18 @@ def test_exports_are_one_file_while_small(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "few")).count() == 100
 
 
-def test_cluster_settings_follow_the_data():
+def test_cluster_settings_follow_the_data(spark, tmp_path, capsys):
     settings = cluster_settings(100 * 2**40)
     assert settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "409600"
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = {k: spark.conf.get(k, None) for k in cluster_settings(0)}
+    try:
+        with pytest.raises(Exception):
+            jobs.main(["--root", str(tmp_path), "--volume", str(2**40), "sentiment"])
+        assert spark.conf.get(name) == "4096"
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def test_partitioned_overwrite_replaces_the_table(spark, tmp_path):

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from conftest import SF_TINY
+from pyspark.sql import functions as F
 
 from tidemart import catalogue
 from tidemart.operators import propensity
@@ -31,6 +32,46 @@ def test_metrics_match_brute_force(spark, levels):
     assert row.roc_auc == pytest.approx(auc) and row.avg_precision == pytest.approx(precision)
 
 
+def test_rows_without_score_or_label_are_set_aside(spark):
+    rows = [(0.9, 1), (0.8, 0), (0.7, 1), (0.1, 0)]
+    aside = [(None, 0), (float("nan"), 1), (0.5, None), (None, None)]
+    schema = "propensity_score DOUBLE, did_purchase INT"
+    row = propensity.ranking_metrics(spark.createDataFrame(rows + aside, schema)).first()
+    auc, precision = brute_metrics(rows)
+    assert (row.users, row.unranked) == (4, 4)
+    assert row.roc_auc == pytest.approx(auc) and row.avg_precision == pytest.approx(precision)
+
+
+def test_crowded_scores_are_spread_over_slices(spark):
+    """All scores within a thousandth of each other still match brute force."""
+    draw = random.Random(5)
+    rows = [(draw.randint(0, 10_000) / 1e7, int(draw.random() < 0.1)) for _ in range(600)]
+    df = spark.createDataFrame(rows, "propensity_score DOUBLE, did_purchase INT")
+    row = propensity.ranking_metrics(df).first()
+    auc, precision = brute_metrics(rows)
+    assert row.roc_auc == pytest.approx(auc) and row.avg_precision == pytest.approx(precision)
+
+
+def test_scores_are_computed_once(spark):
+    counted = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def score(number):
+        counted.add(1)
+        return number / 100
+
+    users = spark.range(100).select(score("id").alias("propensity_score"), (F.col("id") % 2).alias("did_purchase"))
+    propensity.ranking_metrics(users).collect()
+    assert counted.value == 100
+
+
+def test_training_refuses_a_single_class(spark):
+    rows = [(f"u{i}", i % 4, i % 5, 1, 1) for i in range(20)]
+    schema = "user_id STRING, sessions_30d INT, events_30d INT, cart_adds_30d INT, did_purchase INT"
+    with pytest.raises(ValueError, match="both classes"):
+        propensity.fit_propensity(spark.createDataFrame(rows, schema))
+
+
 def test_metrics_of_one_class_are_null(spark):
     df = spark.createDataFrame([(0.2, 1), (0.4, 1)], "propensity_score DOUBLE, did_purchase INT")
     row = propensity.ranking_metrics(df).first()

@@ -56,11 +56,18 @@ def test_text_rules(spark):
     raw = spark.createDataFrame(rows, REVIEW_SOURCE).withColumn("product_category", F.lit("books"))
     kept = {r.review_id: r for r in type_reviews(raw).collect()}
     assert set(kept) == {"books-0", "books-5"}
-    assert (len(kept["books-0"].review_title), len(kept["books-0"].review_text)) == (200, 2000)
+    assert (len(kept["books-0"].review_title), len(kept["books-0"].review_text)) == (300, 2500)
     assert kept["books-0"].review_date == dt.date(1970, 1, 1)
     assert kept["books-5"].review_text == "a b"
-    whole = {r.review_id: r for r in type_reviews(raw, None, None).collect()}
-    assert len(whole["books-0"].review_text) == 2500
+    cut = {r.review_id: r for r in type_reviews(raw, 200, 2000).collect()}
+    assert (len(cut["books-0"].review_title), len(cut["books-0"].review_text)) == (200, 2000)
+
+
+def test_slices_are_loaded_whole_unless_told_otherwise(spark, slices):
+    rows = [(i, 4.0, "t" * 500, "x" * 9_000, 0) for i in range(5_500)]
+    kept = load_reviews(spark, slices({"books": rows}))
+    assert kept.count() == 5_500
+    assert kept.agg(F.min(F.length("review_title")), F.min(F.length("review_text"))).first() == (500, 9_000)
 
 
 TEXTS = ["Great, GREAT phone", "bad bad good", "nothing here", "", None, "goodbad good-bad", "naïve bad"]
@@ -107,11 +114,6 @@ def test_score_and_agreement(spark):
     assert row.reviews == 3 and row.agreement == pytest.approx(2 / 3)
 
 
-def test_transformer_scorer_names_its_missing_package():
-    with pytest.raises(ImportError, match="transformers"):
-        sent.transformer_scorer("any")()
-
-
 def test_scorer_slot_takes_any_callable(spark):
     def build():
         return lambda texts: list(pd.Series(texts).str.len().mul(-0.1))

@@ -8,9 +8,9 @@ from tidemart.operators.silver import clean_events, parse_events, reject_events,
 
 def test_parse_types_the_payload(log):
     row = parse_events(log([event()])).first()
-    assert (row.event_id, row.event_type) == ("e1", "page_view")
-    assert row.event_date == dt.date(2026, 9, 1)
-    assert row.event_ts == dt.datetime(2026, 9, 1, 12)
+    assert (row.event_id, row.event_type) == ("view-17", "page_view")
+    assert row.event_date == dt.date(2025, 3, 14)
+    assert row.event_ts == dt.datetime(2025, 3, 14, 8, 30)
 
 
 def test_unreadable_payloads_become_nulls_not_errors(log):
@@ -25,15 +25,16 @@ def test_unreadable_payloads_become_nulls_not_errors(log):
     rows = parse_events(log(payloads)).orderBy("offset").collect()
     assert [r.event_id for r in rows] == [None, None, None, "e4", "e5", "e6"]
     assert rows[3].event_ts is None and rows[3].event_date is None
-    assert rows[4].order.quantity is None and rows[4].order.order_id == "o1"
+    assert rows[4].order.quantity is None and rows[4].order.order_id == "basket-5"
     kept = clean_events(parse_events(log(payloads))).orderBy("offset").collect()
     assert [r.event_id for r in kept] == ["e5", "e6"]
 
 
-def test_clean_drops_invalid_rows_and_copies(log):
-    payloads = [event("e1"), event("e1"), event("e2", "hack"), event("e3", user_id=None)]
-    rows = clean_events(parse_events(log(payloads))).collect()
-    assert [(r.event_id, r.offset) for r in rows] == [("e1", 0)]
+def test_clean_keeps_one_valid_row_per_event(log):
+    refused = [event(f"bad-{field}", **{field: None}) for field in ("user_id", "session_id", "event_ts")]
+    twice = [event("ok-a"), event("ok-b", "checkout"), event("ok-a"), event("ok-b", "checkout")]
+    rows = clean_events(parse_events(log([*refused, event("bad-type", "refund"), *twice]))).collect()
+    assert sorted((r.event_id, r.offset) for r in rows) == [("ok-a", 4), ("ok-b", 5)]
 
 
 def test_the_earliest_copy_survives_whatever_the_partitioning(log):
@@ -72,6 +73,7 @@ def test_split_orders_keeps_positive_purchases_once(log):
         event("e2", "purchase", order=order("o2", 0.0)),
         event("e3", "purchase", order=order("o3", -1.0)),
         event("e4", "purchase", order=order("o4", None)),
+        event("e9", "purchase", order=order("o9", float("nan"))),
         event("e5", "purchase"),
         event("e6", "page_view", order=order("o6")),
         event("e7", "purchase", order=order("o1", 10.0)),
@@ -79,7 +81,7 @@ def test_split_orders_keeps_positive_purchases_once(log):
     ]
     orders = split_orders(clean_events(parse_events(log(payloads))))
     row = orders.collect()
-    assert [(r.order_id, r.order_total, r.quantity) for r in row] == [("o1", 59.98, 2)]
+    assert [(r.order_id, r.order_total, r.quantity) for r in row] == [("o1", 37.5, 3)]
     assert len(orders.columns) == 13
 
 

@@ -8,15 +8,17 @@ engines compare against.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.contracts import (
+    BAND_EDGES,
     BRONZE,
     KAFKA_RECORD,
     RAW_DAILY_SALES,
@@ -30,8 +32,11 @@ from tidemart.functions.sentiment import (
 )
 from tidemart.operators import gold, propensity, quality
 from tidemart.operators.reviews import load_reviews, type_reviews
+from tidemart.operators.silver import clean_events as keep_clean
+from tidemart.operators.silver import parse_events as parse
 from tidemart.operators.silver import reject_events
-from tidemart.plans import dashboards, marts, staging
+from tidemart.operators.silver import split_orders as flat_orders
+from tidemart.plans import dashboards, marts, pipeline, staging
 from tidemart.plans.pipeline import Lake, run_bronze, run_silver
 from tidemart.session import configure, scratch_dir
 from tidemart.sinks import publish as sinks
@@ -46,9 +51,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The test events end on this day; it is the label day of the propensity job.
 LABEL_DAY = dt.date(2024, 1, 30)
+# The registry query is about versions, not about the model.
+REGISTRY_TREES = 2
+# As many as a tree has bins by default.
+STUMP_VALUES = 32
 AS_OF = dt.date(2024, 1, 20)
-NOW = dt.datetime(2024, 2, 2, 0, 30)
-SCORED_AT = dt.datetime(2024, 1, 30)
+NOW = dt.datetime(2024, 2, 2, 0, 30, tzinfo=dt.timezone.utc)
+SCORED_AT = dt.datetime(2024, 1, 30, tzinfo=dt.timezone.utc)
 PART_TYPES = ["economy", "large", "medium", "promo", "small", "standard"]
 
 _QUERIES: dict[str, Query] = {}
@@ -120,6 +129,14 @@ def route_events_to_topics(spark, sf_dir):
     )
 
 
+def _stored_silver(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Events and their orders from a written silver table, so that payloads are decoded once."""
+    path = scratch_dir(spark, "silver")
+    td.silver_events(spark, sf_dir).write.parquet(path)
+    events = read_table(spark, path)
+    return events, flat_orders(events)
+
+
 # --- gold ------------------------------------------------------------------------
 
 
@@ -150,19 +167,12 @@ def user_purchases(spark, sf_dir):
 
 @query
 def user_features(spark, sf_dir):
-    return gold.user_features(
-        td.silver_events(spark, sf_dir), td.silver_orders(spark, sf_dir), unique_orders=True
-    )
+    return gold.user_features(*_stored_silver(spark, sf_dir), unique_orders=True)
 
 
 @query
 def user_features_as_of(spark, sf_dir):
-    return gold.user_features(
-        td.silver_events(spark, sf_dir),
-        td.silver_orders(spark, sf_dir),
-        as_of=AS_OF,
-        unique_orders=True,
-    )
+    return gold.user_features(*_stored_silver(spark, sf_dir), as_of=AS_OF, unique_orders=True)
 
 
 # --- raw tables as the warehouse would hold them -----------------------------------
@@ -188,7 +198,7 @@ def _raw_funnel(spark, sf_dir):
 
 def _whole_reviews(spark, sf_dir):
     """All reviews with their whole texts."""
-    return type_reviews(td.review_records(spark, sf_dir), None, None)
+    return type_reviews(td.review_records(spark, sf_dir))
 
 
 def _prose_sentiment(text):
@@ -203,8 +213,7 @@ def _raw_sentiment(spark, sf_dir):
 def _visitors(spark, sf_dir):
     """Feature rows per session: the test users all buy, single visits differ."""
     visits = [
-        rows.withColumn("user_id", F.col("session_id"))
-        for rows in (td.silver_events(spark, sf_dir), td.silver_orders(spark, sf_dir))
+        rows.withColumn("user_id", F.col("session_id")) for rows in _stored_silver(spark, sf_dir)
     ]
     return gold.user_features(*visits, unique_orders=True)
 
@@ -284,9 +293,7 @@ def load_review_slices(spark, sf_dir):
 def load_first_reviews(spark, sf_dir):
     """The per-category limit where it cuts: the first 25 records of each slice."""
     slices = td.write_review_slices(spark, sf_dir, scratch_dir(spark, "reviews"))
-    return load_reviews(spark, slices, limit=25, title_chars=None, text_chars=None).drop(
-        "review_title", "review_text"
-    )
+    return load_reviews(spark, slices, limit=25).drop("review_title", "review_text")
 
 
 @query
@@ -330,13 +337,34 @@ def ranking_metrics(spark, sf_dir):
 
 
 def _labelled(spark, sf_dir):
-    return propensity.labelled_features(
-        td.silver_events(spark, sf_dir), td.silver_orders(spark, sf_dir), LABEL_DAY
-    )
+    return propensity.labelled_features(*_stored_silver(spark, sf_dir), LABEL_DAY)
+
+
+def _stump_users(spark, sf_dir):
+    """Visits with their counts and whether they ended in an order, counts capped."""
+    visits = _visitors(spark, sf_dir)
+    capped = {name: F.least(name, F.lit(STUMP_VALUES - 1)) for name in propensity.FEATURES}
+    return visits.withColumns(capped)
+
+
+@query
+def propensity_stump(spark, sf_dir):
+    """One boosting round of depth one, which has a closed form in SQL.
+
+    Features have at most as many values as the trees have bins, so every cut
+    between two values is tried.
+    """
+    users = _stump_users(spark, sf_dir)
+    path = scratch_dir(spark, "stump")
+    users.write.parquet(path)
+    users = read_table(spark, path)
+    model = propensity.fit_propensity(users, propensity.TreeSettings(trees=1, depth=1))
+    scored = propensity.predict(model, users)
+    return scored.select("user_id", F.round("propensity_score", 9).alias("propensity_score"))
 
 
 # (application, folder of tables) -> model root and feature table, so that the
-# queries on one model train it once per session.
+# two queries on the full model train it once per session.
 _TRAINED: dict[tuple[str, str], tuple[str, str]] = {}
 
 
@@ -356,16 +384,52 @@ def _trained(spark, sf_dir):
 
 @query
 def propensity_scores(spark, sf_dir):
+    """Every user scored by the model registered last, in checkable totals."""
     version, model, users = _trained(spark, sf_dir)
-    scored = propensity.predict(model, users)
-    return propensity.propensity_table(scored, version).drop("scored_at")
+    table = propensity.propensity_table(propensity.predict(model, users), version)
+    score = F.col("propensity_score")
+    low, medium = (F.lit(BAND_EDGES[band]) for band in ("LOW", "MEDIUM"))
+    band = F.when(score <= low, "LOW").when(score <= medium, "MEDIUM").otherwise("HIGH")
+    return table.agg(
+        F.count("*").alias("users"),
+        F.countDistinct("user_id").alias("distinct_users"),
+        F.count_if(score.between(0, 1)).alias("in_range"),
+        F.count_if(F.col("score_band") == band).alias("in_band"),
+        F.max("model_version").alias("model_version"),
+    )
 
 
 @query
 def propensity_metrics(spark, sf_dir):
+    """Metrics of the held-out side, in the ranges they must lie in."""
     _, model, users = _trained(spark, sf_dir)
-    validation = users.filter("side = 'validation'")
-    return propensity.ranking_metrics(propensity.predict(model, validation))
+    held = propensity.ranking_metrics(propensity.predict(model, users.filter("side = 'validation'")))
+    within = [F.coalesce(F.col(m).between(0, 1), F.lit(True)) for m in ("roc_auc", "avg_precision")]
+    return held.select(
+        "users",
+        "unranked",
+        F.round("positive_rate", 9).alias("positive_rate"),
+        (within[0] & within[1]).cast("int").alias("in_range"),
+    )
+
+
+@query
+def registry_roundtrip(spark, sf_dir):
+    """Two versions registered, with their parameters and input example, read back."""
+    root = scratch_dir(spark, "models")
+    training = propensity.with_split(_labelled(spark, sf_dir)).filter("side = 'train'")
+    settings = propensity.TreeSettings(trees=REGISTRY_TREES)
+    for _ in range(2):
+        model = propensity.fit_propensity(training, settings)
+        propensity.register_model(spark, model, root, settings, training=training)
+    registry = read_table(spark, f"{root}/registry")
+    examples = [spark.read.json(f"{root}/examples/version={v}").count() for v in (1, 2)]
+    return registry.select(
+        "version",
+        F.col("params")["trees"].cast("int").alias("trees"),
+        F.col("params")["depth"].cast("int").alias("depth"),
+        F.element_at(F.array(*map(F.lit, examples)), F.col("version")).cast("int").alias("example_rows"),
+    )
 
 
 # --- streaming -------------------------------------------------------------------------
@@ -412,14 +476,13 @@ def stream_bronze(spark, sf_dir):
 
 @query
 def upsert_events(spark, sf_dir):
-    events = events_table(_upserted(spark, sf_dir).silver_events)
-    return events.read(spark).select("event_id", "event_type", "user_id", "event_ts", "event_date")
+    events = events_table(_upserted(spark, sf_dir).silver_events).read(spark)
+    return _flat(events)
 
 
 @query
 def upsert_orders(spark, sf_dir):
-    orders = orders_table(_upserted(spark, sf_dir).silver_orders)
-    return orders.read(spark).select("order_id", "user_id", "event_date", "quantity", "order_total")
+    return orders_table(_upserted(spark, sf_dir).silver_orders).read(spark)
 
 
 STAGED_SALES = "order_date DATE, product_category STRING, orders BIGINT, units BIGINT, revenue DOUBLE"
@@ -448,13 +511,45 @@ def ingest_files(spark, sf_dir):
 
 @query
 def load_history(spark, sf_dir):
+    """Rows per delivery: the files of one delivery are loaded together."""
     history = ingest.load_history(_ingested(spark, sf_dir))
-    return history.agg(F.sum("rows_loaded").alias("rows_loaded"))
+    delivery = F.dense_rank().over(Window.orderBy("last_loaded_at")).alias("delivery")
+    return (
+        history.select(delivery, "rows_loaded")
+        .groupBy("delivery")
+        .agg(F.sum("rows_loaded").alias("rows_loaded"))
+    )
 
 
 # --- sinks -----------------------------------------------------------------------------
 
 
+@query
+def publish_warehouse(spark, sf_dir):
+    """All four gold tables published to the catalog, read through SQL views."""
+    root, database = scratch_dir(spark, "publish"), f"shop_{uuid.uuid4().hex}"
+    gold_tables = {
+        "daily_sales": daily_sales(spark, sf_dir),
+        "funnel_daily": funnel_daily(spark, sf_dir),
+        "review_sentiment": score_reviews(_whole_reviews(spark, sf_dir), _prose_sentiment),
+        "user_propensity": _raw_propensity(spark, sf_dir).drop("loaded_at"),
+    }
+    written = {n: sinks.overwrite_table(df, f"{root}/gold/{n}") for n, df in gold_tables.items()}
+    spark.sql(f"CREATE DATABASE {database}")
+    published = sinks.publish(spark, f"{root}/gold", sinks.catalog_writer(database))
+    raw = {table: spark.table(f"{database}.{table}") for table in published}
+    pipeline.register_views(pipeline.staged(raw), f"{database}_")
+    rows = []
+    for (name, count), (table, sent) in zip(written.items(), published.items()):
+        rows.append(
+            spark.sql(
+                f"SELECT '{table}' AS table_name, count(*) AS staged_rows, count(loaded_at) AS stamped,"
+                f" {count}L AS written, {sent}L AS published FROM {database}_{name}"
+            )
+        )
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query
 def export_roundtrip(spark, sf_dir):
     """One gold table through every batch sink and back, totals per sink."""
@@ -492,6 +587,62 @@ def export_roundtrip(spark, sf_dir):
     )
 
 
+# --- rows that break the rules, derived from the given tables -------------------------
+
+
+@query
+def odd_events(spark, sf_dir):
+    """Events with missing fields, unreadable times and broken payloads: what stays."""
+    return _flat(keep_clean(parse(td.odd_records(spark, sf_dir))))
+
+
+@query
+def odd_rejects(spark, sf_dir):
+    rejected = reject_events(parse(td.odd_records(spark, sf_dir)))
+    return rejected.groupBy("reject_reason").agg(F.count("*").alias("records"))
+
+
+@query
+def odd_orders(spark, sf_dir):
+    """Different events with one order id, totals that are no price."""
+    return flat_orders(keep_clean(parse(td.odd_records(spark, sf_dir))))
+
+
+@query
+def odd_reviews(spark, sf_dir):
+    """Blank and missing texts, stars out of range."""
+    reviews = type_reviews(td.odd_reviews(spark, sf_dir))
+    return reviews.select("review_id", "star_rating", F.length("review_text").alias("chars"))
+
+
+@query
+def odd_staging(spark, sf_dir):
+    """Rows and totals that the four staging filters leave of broken raw tables."""
+    staged = pipeline.staged(td.odd_raw(_raw_sales, _raw_funnel, _raw_sentiment, _raw_propensity, spark, sf_dir))
+    totals = {
+        "daily_sales": (F.sum("orders"), F.countDistinct("product_category")),
+        "funnel_daily": (F.sum("page_views"), F.countDistinct("event_date")),
+        "review_sentiment": (F.sum("star_rating"), F.countDistinct("sentiment_label")),
+        "user_propensity": (F.sum("events_30d"), F.countDistinct("score_band")),
+    }
+    rows = [
+        staged[name].agg(
+            F.lit(name).alias("model"),
+            F.count("*").alias("rows_kept"),
+            total.cast("bigint").alias("total"),
+            values.alias("distinct_values"),
+        )
+        for name, (total, values) in totals.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def odd_checks(spark, sf_dir):
+    """The check suite over marts with missing and repeated keys and uneven days."""
+    return quality.run_suite(td.odd_marts(_marts(spark, sf_dir)))
+
+
 # --- data quality ------------------------------------------------------------------------
 
 
@@ -503,23 +654,24 @@ MARTS: dict[str, Query] = {
 }
 
 
-def _marts(spark, sf_dir) -> dict[str, DataFrame]:
+def _marts(spark, sf_dir, names=tuple(MARTS)) -> dict[str, DataFrame]:
     """The marts as written tables: every check reads one, none rebuilds it."""
     root = scratch_dir(spark, "marts")
     write = sinks.parquet_writer(root)
-    with ThreadPoolExecutor(len(MARTS)) as pool:
-        jobs = [pool.submit(write, build(spark, sf_dir), name) for name, build in MARTS.items()]
+    with ThreadPoolExecutor(len(names)) as pool:
+        jobs = [pool.submit(write, MARTS[name](spark, sf_dir), name) for name in names]
         for job in jobs:
             job.result()
-    return {name: read_table(spark, f"{root}/{name}") for name in MARTS}
+    return {name: read_table(spark, f"{root}/{name}") for name in names}
 
 
 def _rules_of_kind(spark, sf_dir, kind: str) -> DataFrame:
-    results = []
-    for name, mart in _marts(spark, sf_dir).items():
-        rules = getattr(quality.mart_checks()[name], kind)
-        if rules:
-            results.append(quality.run_checks(name, mart, quality.Checks(**{kind: rules})))
+    rules = {name: getattr(checks, kind) for name, checks in quality.mart_checks().items()}
+    needed = [name for name, own in rules.items() if own]
+    results = [
+        quality.run_checks(name, mart, quality.Checks(**{kind: rules[name]}))
+        for name, mart in _marts(spark, sf_dir, needed).items()
+    ]
     return reduce(DataFrame.unionByName, results)
 
 
@@ -597,6 +749,16 @@ def bi_funnel_steps(spark, sf_dir):
     return dashboards.funnel_steps(fct_funnel_conversion(spark, sf_dir))
 
 
+@query
+def bi_funnel_order(spark, sf_dir):
+    """The place each row of the sorted funnel has."""
+    shown = dashboards.funnel_steps(fct_funnel_conversion(spark, sf_dir), by=())
+    path = scratch_dir(spark, "funnel")
+    # One row per step: five rows in all.
+    shown.coalesce(1).select("step", F.monotonically_increasing_id().alias("place")).write.parquet(path)
+    return read_table(spark, path)
+
+
 @query
 def bi_funnel_total(spark, sf_dir):
     return dashboards.funnel_steps(fct_funnel_conversion(spark, sf_dir), by=())

@@ -105,9 +105,9 @@ WAREHOUSE_TABLES = {
 
 # --- fixed values: limits and thresholds ---------------------------------------
 
-REVIEWS_PER_CATEGORY = 5_000
-REVIEW_TITLE_CHARS = 200
-REVIEW_TEXT_CHARS = 2_000
+LOYAL_PURCHASES = 3
+HEALTHY_SENTIMENT = 0.5
+WATCH_SENTIMENT = 0.0
 BAND_EDGES = {"LOW": 0.33, "MEDIUM": 0.66, "HIGH": 1.0}
 BAND_FLOOR = -0.01
 FRESHNESS_WARN_HOURS = 36

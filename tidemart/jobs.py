@@ -3,7 +3,8 @@
     spark-submit tidemart/jobs.py --root s3a://lake gold
 
 Order: bronze, silver, gold; reviews, sentiment; propensity after gold; then
-publish, marts, checks.
+publish, marts, checks. ``checks`` ends with status 1 if a rule fails or a table
+is too old, so that a scheduler stops there.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ if __package__ in (None, ""):
 from tidemart.contracts import WAREHOUSE_TABLES  # noqa: E402
 from tidemart.operators import quality  # noqa: E402
 from tidemart.plans import pipeline  # noqa: E402
-from tidemart.session import configure  # noqa: E402
+from tidemart.operators.propensity import TreeSettings  # noqa: E402
+from tidemart.session import cluster_settings, configure  # noqa: E402
 from tidemart.sinks.publish import catalog_writer, connector_writer, export_csv  # noqa: E402
 from tidemart.sources.kafka import file_stream, kafka_options, kafka_stream  # noqa: E402
 from tidemart.streaming.triggers import DRAIN, every  # noqa: E402
@@ -38,6 +40,7 @@ MARTS = [
 def parser() -> argparse.ArgumentParser:
     options = argparse.ArgumentParser(prog="jobs")
     options.add_argument("--root", required=True, help="folder of the lake")
+    options.add_argument("--volume", type=int, help="bytes of the largest shuffle, to size partitions")
     jobs = options.add_subparsers(dest="job", required=True)
     bronze = jobs.add_parser("bronze", help="land the topics")
     bronze.add_argument("--bootstrap", help="Kafka brokers")
@@ -45,13 +48,29 @@ def parser() -> argparse.ArgumentParser:
     bronze.add_argument("--files", help="folder of Parquet log records instead of Kafka")
     silver = jobs.add_parser("silver", help="upsert events and orders")
     silver.add_argument("--max-bytes", type=int, help="most bronze bytes per batch")
+    silver.add_argument("--rejects", help="folder to keep rejected records in")
+    silver.add_argument(
+        "--same-day-copies", action="store_true", help="copies of a key carry the same day"
+    )
     for job in (bronze, silver):
         job.add_argument("--every", help="keep running, one batch per interval")
     jobs.add_parser("gold", help="daily sales, funnel, user features")
     reviews = jobs.add_parser("reviews", help="load the review slices")
     reviews.add_argument("slices", nargs="+", metavar="CATEGORY=PATH")
+    reviews.add_argument("--limit", type=int, help="only the first records of each slice")
+    reviews.add_argument("--title-chars", type=int, help="cut titles")
+    reviews.add_argument("--text-chars", type=int, help="cut texts")
     jobs.add_parser("sentiment", help="score the reviews")
-    jobs.add_parser("propensity", help="train, register and score")
+    propensity = jobs.add_parser("propensity", help="train, register and score")
+    propensity.add_argument(
+        "--label-day", type=dt.date.fromisoformat, required=True, help="first day of the label window"
+    )
+    trees = TreeSettings()
+    propensity.add_argument("--trees", type=int, default=trees.trees)
+    propensity.add_argument("--depth", type=int, default=trees.depth)
+    propensity.add_argument("--learning-rate", type=float, default=trees.learning_rate)
+    compact = jobs.add_parser("compact", help="merge the silver batches, with the stream stopped")
+    compact.add_argument("--into", required=True, help="root of the lake that gets the merged tables")
     publish = jobs.add_parser("publish", help="refresh the warehouse tables")
     publish.add_argument("--database", default="default")
     publish.add_argument("--connector", help="data source to publish through, such as jdbc")
@@ -79,15 +98,27 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
         case "silver":
             trigger = every(args.every) if args.every else DRAIN
             source = {"maxBytesPerTrigger": str(args.max_bytes)} if args.max_bytes else {}
-            return pipeline.run_silver(spark, lake, trigger, **source).awaitTermination()
+            return pipeline.run_silver(
+                spark,
+                lake,
+                trigger,
+                same_day_copies=args.same_day_copies,
+                rejects_path=args.rejects,
+                **source,
+            ).awaitTermination()
+        case "compact":
+            return pipeline.run_compact(spark, lake, pipeline.Lake(args.into.rstrip("/")))
         case "gold":
             return pipeline.run_gold(spark, lake)
         case "reviews":
-            return pipeline.run_reviews(spark, lake, dict(s.split("=", 1) for s in args.slices))
+            slices = dict(s.split("=", 1) for s in args.slices)
+            limits = {"limit": args.limit, "title_chars": args.title_chars, "text_chars": args.text_chars}
+            return pipeline.run_reviews(spark, lake, slices, **limits)
         case "sentiment":
             return pipeline.run_sentiment(spark, lake)
         case "propensity":
-            return pipeline.run_propensity(spark, lake)
+            settings = TreeSettings(args.trees, args.learning_rate, args.depth)
+            return pipeline.run_propensity(spark, lake, args.label_day, settings)
         case "publish":
             if args.connector:
                 options = json.loads(Path(args.options).read_text())
@@ -116,8 +147,14 @@ def _tables(spark: SparkSession, database: str, names: list[str]) -> dict:
 
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
-    spark = configure(SparkSession.builder.appName(f"tidemart-{args.job}").getOrCreate())
-    print(run(spark, args))
+    builder = SparkSession.builder.appName(f"tidemart-{args.job}")
+    if args.volume:
+        builder = builder.config(map=cluster_settings(args.volume))
+    spark = configure(builder.getOrCreate())
+    result = run(spark, args)
+    print(result)
+    if args.job == "checks" and any(v not in (0, "pass", "warn") for v in result.values()):
+        sys.exit(1)
 
 
 if __name__ == "__main__":

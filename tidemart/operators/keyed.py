@@ -31,22 +31,29 @@ def lowest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def lowest_n(df: DataFrame, order: str, n: int, lanes: int = 4096) -> DataFrame:
-    """The ``n`` rows with the lowest ``order`` value, a unique non-null column.
+    """Exactly the ``n`` rows that sort first by ``order``, or all if there are fewer.
+
+    Rows without a value sort last; equal values are told apart by a hash of the
+    row, so only rows that are equal in every column may stay beyond ``n``.
 
     Sorting a huge table to cut it off early would bring the leading rows of
-    every map task into one. Here the narrow ``order`` column alone is ranked
-    in parallel lanes; a row outside the best ``n`` of its lane cannot be among
-    the best ``n`` overall, so at most ``lanes * n`` values remain to find the
-    exact cut-off. The wide rows are then only filtered against that scalar.
+    every map task into one. Here the narrow sort key alone is ranked in
+    parallel lanes; a row outside the best ``n`` of its lane cannot be among the
+    best ``n`` overall, so at most ``lanes * n`` keys remain to find the exact
+    cut-off. The wide rows are then only filtered against it.
     """
-    lane = F.pmod(F.xxhash64(order), F.lit(lanes))
-    window = Window.partitionBy(_LANE).orderBy(order)
+    key = F.struct(
+        F.col(order).isNull().alias("missing"),
+        F.col(order).alias("value"),
+        F.xxhash64(*df.columns).alias("row"),
+    )
+    lane = F.pmod(F.col("key.row"), F.lit(lanes))
+    window = Window.partitionBy(_LANE).orderBy("key")
     lane_best = (
-        df.select(order)
-        .filter(F.col(order).isNotNull())
+        df.select(key.alias("key"))
         .withColumn(_LANE, lane)
         .withColumn(_RANK, F.row_number().over(window))
         .filter(F.col(_RANK) <= n)
     )
-    cutoff = lane_best.select(order).orderBy(order).limit(n).agg(F.max(order))
-    return df.filter(F.col(order) <= cutoff.scalar())
+    cutoff = lane_best.select("key").orderBy("key").limit(n).agg(F.max("key"))
+    return df.filter(key <= cutoff.scalar())

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,14 +17,14 @@ from pyspark.sql import functions as F
 from tidemart.contracts import BAND_EDGES, BAND_FLOOR
 from tidemart.operators.gold import user_features, user_purchases
 from tidemart.session import ensure_checkpoint_dir, scratch_dir
-from tidemart.sources.tables import read_table_or_empty
+from tidemart.sources.tables import read_table, read_table_or_empty
 
 FEATURES = ["sessions_30d", "events_30d", "cart_adds_30d"]
 LABEL = "did_purchase"
 SEED = 42
 
-# Score thresholds are summed up in this many slices of [0, 1].
-SCORE_SLICES = 4096
+# Distinct scores are ranked in this many slices.
+SCORE_SLICES = 512
 
 
 @dataclass(frozen=True)
@@ -80,6 +81,8 @@ def fit_propensity(training: DataFrame, settings: TreeSettings = TreeSettings())
     merged = spark.read.parquet(path)
     by_label = merged.groupBy(LABEL).agg(F.sum("users").alias("users"))
     sizes = {row[LABEL]: row["users"] for row in by_label.collect()}
+    if len(sizes) < 2:
+        raise ValueError(f"training needs users of both classes, found {sizes}")
     total = sum(sizes.values())
     balance = F.coalesce(
         *[F.when(F.col(LABEL) == label, total / (2.0 * n)) for label, n in sizes.items()]
@@ -129,18 +132,35 @@ def ranking_metrics(
 ) -> DataFrame:
     """One row: users, positive rate, ROC-AUC and average precision, all exact.
 
+    Rows without a score (NULL or NaN) or without a label are set aside and
+    counted as ``unranked``; the metrics are over the others.
+
     Both curves need running totals over descending scores. Rows are first
-    merged by distinct score; running totals are then taken inside slices of
-    the score range, on top of the totals of the slices above, so no window
-    covers the whole table. A metric without both classes is NULL.
+    merged by distinct score and written out, so scores are computed once.
+    Running totals are then taken inside slices cut at quantiles of the distinct
+    scores, on top of the totals of the slices above, so no window covers the
+    whole table, wherever the scores crowd. A metric without both classes is NULL.
     """
-    slice_no = F.greatest(F.least(F.floor(F.col("s") * SCORE_SLICES), F.lit(SCORE_SLICES - 1)), F.lit(0))
-    merged = (
-        scored.select(F.col(score).alias("s"), (F.col(label) == 1).alias("hit"))
-        .groupBy("s")
-        .agg(F.count_if("hit").alias("pos"), F.count_if(~F.col("hit")).alias("neg"))
-        .withColumn("slice", slice_no.cast("int"))
+    spark = scored.sparkSession
+    s, hit = F.col(score), F.col(label) == 1
+    usable = s.isNotNull() & ~F.isnan(s) & F.col(label).isNotNull()
+    path = scratch_dir(spark, "scores")
+    (
+        scored.select(F.when(usable, s).alias("s"), usable.alias("usable"), hit.alias("hit"))
+        .groupBy("s", "usable")
+        .agg(
+            F.count_if(F.col("usable") & F.col("hit")).alias("pos"),
+            F.count_if(F.col("usable") & ~F.col("hit")).alias("neg"),
+            F.count_if(~F.col("usable")).alias("unranked"),
+        )
+        .write.parquet(path)
     )
+    counted = read_table(spark, path)
+    merged = counted.filter("usable").select("s", "pos", "neg")
+    shares = [i / SCORE_SLICES for i in range(1, SCORE_SLICES)]
+    inner = sorted(set(merged.approxQuantile("s", shares, 0.5 / SCORE_SLICES) or [0.0]))
+    cuts = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="s", outputCol="slice")
+    merged = cuts.transform(merged)
     slices = merged.groupBy("slice").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     # At most SCORE_SLICES rows, which is what makes this unpartitioned window
     # and the broadcast below safe.
@@ -166,6 +186,7 @@ def ranking_metrics(
         F.sum(F.col("pos") * precision).alias("precision_sum"),
         F.sum(lost).alias("lost_pairs"),
     )
+    aside = counted.agg(F.coalesce(F.sum("unranked"), F.lit(0)).alias("unranked"))
     pairs = F.nullif(F.col("positives") * F.col("negatives"), F.lit(0))
     users = F.col("positives") + F.col("negatives")
     return totals.select(
@@ -175,6 +196,7 @@ def ranking_metrics(
         F.when(pairs.isNotNull(), F.col("precision_sum") / F.col("positives")).alias(
             "avg_precision"
         ),
+        aside.scalar().alias("unranked"),
     )
 
 
@@ -210,7 +232,7 @@ def register_model(
         example = training.select(*FEATURES).limit(3)
         example.write.mode("overwrite").json(f"{root}/examples/version={version}")
     params = {name: str(value) for name, value in asdict(settings).items()}
-    row = (version, dt.datetime.now(), params, dict(metrics or {}))
+    row = (version, dt.datetime.now(dt.timezone.utc), params, dict(metrics or {}))
     entry = spark.createDataFrame([row], REGISTRY)
     entry.coalesce(1).write.mode("append").parquet(f"{root}/registry")
     return version

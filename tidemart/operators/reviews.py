@@ -8,12 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.contracts import (
-    REVIEW_SOURCE,
-    REVIEW_TEXT_CHARS,
-    REVIEW_TITLE_CHARS,
-    REVIEWS_PER_CATEGORY,
-)
+from tidemart.contracts import REVIEW_SOURCE
 from tidemart.functions.text import clip, is_blank, squash
 from tidemart.operators.keyed import lowest_n
 
@@ -21,15 +16,16 @@ from tidemart.operators.keyed import lowest_n
 def load_reviews(
     spark: SparkSession,
     paths_by_category: Mapping[str, str],
-    limit: int | None = REVIEWS_PER_CATEGORY,
+    limit: int | None = None,
     fmt: str = "parquet",
-    title_chars: int | None = REVIEW_TITLE_CHARS,
-    text_chars: int | None = REVIEW_TEXT_CHARS,
+    title_chars: int | None = None,
+    text_chars: int | None = None,
 ) -> DataFrame:
-    """Union of the category slices, each cut to its first ``limit`` records.
+    """Union of the category slices: all records with their whole texts.
 
-    ``seq`` is the record's position in its slice. Blank reviews count toward
-    the limit and are dropped afterwards. ``None`` lifts a limit.
+    On request each slice is cut to its first ``limit`` records by ``seq``, the
+    record's position in its slice, and titles and texts to a number of
+    characters. Blank reviews count toward the limit and are dropped afterwards.
     """
     slices = []
     for category, path in paths_by_category.items():
@@ -41,9 +37,7 @@ def load_reviews(
 
 
 def type_reviews(
-    records: DataFrame,
-    title_chars: int | None = REVIEW_TITLE_CHARS,
-    text_chars: int | None = REVIEW_TEXT_CHARS,
+    records: DataFrame, title_chars: int | None = None, text_chars: int | None = None
 ) -> DataFrame:
     """Raw review records (with their category) to the review table.
 

@@ -6,13 +6,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemart.contracts import EVENT_PAYLOAD, EVENT_TYPES
+from tidemart.contracts import EVENT_PAYLOAD, EVENT_TYPES, SILVER_ORDERS
 from tidemart.operators.keyed import lowest_per_key
 
 # Position of a record in the log: the tie-break between copies of one key.
 LOG_ORDER = ["topic", "partition", "offset"]
 
+
 def _rules() -> dict[str, Column]:
     """Reject reason -> condition a row must meet; the first broken one is reported."""
     required = ("event_id", "event_ts", "user_id", "session_id")
@@ -51,16 +53,14 @@ def reject_events(parsed: DataFrame) -> DataFrame:
 
 
 def split_orders(events: DataFrame) -> DataFrame:
-    """Purchases with a positive total, flattened to one row per ``order_id``."""
+    """Purchases with a positive total, flattened to one row per ``order_id``.
+
+    NaN compares above every number but is no total: such orders are left out.
+    """
+    total = F.col("order.order_total")
     purchases = events.filter(
-        (F.col("event_type") == "purchase") & (F.col("order.order_total") > 0)
-    )
-    flat = purchases.select(
-        "order.order_id",
-        *["event_ts", "event_date", "user_id", "session_id", "device"],
-        *["product_id", "product_category"],
-        *[f"order.{name}" for name in ("quantity", "unit_price", "order_total")],
-        *[f"order.{name}" for name in ("currency", "payment_method")],
-        *LOG_ORDER,
+        (F.col("event_type") == "purchase") & (total > 0) & ~F.isnan(total)
     )
+    orders = StructType.fromDDL(SILVER_ORDERS).names
+    flat = purchases.select("*", "order.*").select(*orders, *LOG_ORDER)
     return lowest_per_key(flat, ["order_id"], LOG_ORDER).drop(*LOG_ORDER)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.contracts import FUNNEL_COLUMNS
@@ -68,10 +68,15 @@ def funnel_steps(funnel: DataFrame, by: Sequence[str] = ("event_date",)) -> Data
 
 
 def sentiment_quadrant(sentiment: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
-    """Categories placed against the average revenue and average sentiment."""
+    """Categories placed against the average revenue and average sentiment.
+
+    The averages are windows over the mart's few rows, one per category, so the
+    mart is computed once.
+    """
     shown = only_categories(sentiment, categories)
-    mean_revenue = shown.agg(F.avg(F.col("total_revenue").cast("decimal(28,6)"))).scalar()
-    mean_sentiment = shown.agg(F.avg(F.col("avg_sentiment").cast("decimal(12,6)"))).scalar()
+    everything = Window.partitionBy()
+    mean_revenue = F.avg(F.col("total_revenue").cast("decimal(28,6)")).over(everything)
+    mean_sentiment = F.avg(F.col("avg_sentiment").cast("decimal(12,6)")).over(everything)
     sells = F.when(F.col("total_revenue") >= mean_revenue, "high").otherwise("low")
     pleases = F.when(
         F.col("avg_sentiment").cast("decimal(12,6)") >= mean_sentiment, "high"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemart.contracts import HEALTHY_SENTIMENT, LOYAL_PURCHASES, WATCH_SENTIMENT
 from tidemart.functions.numeric import ratio
 
 
@@ -55,12 +56,13 @@ def fct_category_sentiment(reviews: DataFrame, sales: DataFrame) -> DataFrame:
         F.sum("revenue").cast("decimal(28,2)").alias("total_revenue")
     )
     status = (
-        F.when(F.col("sentiment") >= 0.5, "HEALTHY")
-        .when(F.col("sentiment") >= 0, "WATCH")
+        F.when(F.col("sentiment") >= HEALTHY_SENTIMENT, "HEALTHY")
+        .when(F.col("sentiment") >= WATCH_SENTIMENT, "WATCH")
         .otherwise("AT RISK")
     )
     return by_category.join(revenue, "product_category", "left").select(
-        *["product_category", "reviews"],
+        "product_category",
+        "reviews",
         F.round("stars", 2).alias("avg_stars"),
         F.round("sentiment", 3).cast("double").alias("avg_sentiment"),
         ratio("positive", "reviews", places=3).alias("pct_positive"),
@@ -72,15 +74,21 @@ def fct_category_sentiment(reviews: DataFrame, sales: DataFrame) -> DataFrame:
 def dim_user_segments(users: DataFrame) -> DataFrame:
     """Users with the first segment whose rule they meet."""
     rules = [
-        ("LOYAL", F.col("purchases_prior") >= 3),
+        ("LOYAL", F.col("purchases_prior") >= LOYAL_PURCHASES),
         ("CUSTOMER", F.col("purchases_prior") >= 1),
         ("HOT_PROSPECT", F.col("score_band") == "HIGH"),
         ("CART_ABANDONER", F.col("cart_adds_30d") > 0),
     ]
     matches = [F.when(rule, F.lit(segment)) for segment, rule in rules]
     return users.select(
-        *["user_id", "sessions_30d", "events_30d", "cart_adds_30d", "purchases_prior"],
-        *["propensity_score", "score_band"],
+        "user_id",
+        "sessions_30d",
+        "events_30d",
+        "cart_adds_30d",
+        "purchases_prior",
+        "propensity_score",
+        "score_band",
         F.coalesce(*matches, F.lit("BROWSER")).alias("segment"),
-        *["model_version", "scored_at"],
+        "model_version",
+        "scored_at",
     )

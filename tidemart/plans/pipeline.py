@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -16,6 +17,7 @@ from tidemart.operators.gold import daily_sales, funnel_daily, user_features
 from tidemart.operators.propensity import (
     TreeSettings,
     fit_propensity,
+    labelled_features,
     load_model,
     predict,
     propensity_table,
@@ -25,11 +27,12 @@ from tidemart.operators.propensity import (
 )
 from tidemart.operators.reviews import load_reviews
 from tidemart.plans import marts, staging
+from tidemart.session import scratch_dir
 from tidemart.sinks.publish import Writer, export_files, overwrite_table, publish
 from tidemart.sources.kafka import file_stream
 from tidemart.sources.tables import read_table, spread
 from tidemart.streaming.bronze import start_bronze
-from tidemart.streaming.silver import events_table, orders_table, start_silver
+from tidemart.streaming.silver import compact, events_table, orders_table, start_silver
 from tidemart.streaming.triggers import DRAIN
 
 
@@ -79,22 +82,36 @@ def run_silver(
     lake: Lake,
     trigger: Mapping[str, Any] = DRAIN,
     checkpoint: str = "silver",
+    same_day_copies: bool = False,
+    rejects_path: str | None = None,
     **source: str,
 ) -> StreamingQuery:
     """Start the keyed upserts from bronze.
 
     ``source`` are file stream options; ``maxBytesPerTrigger`` splits a long
-    backlog into batches whose keys stay within the broadcast limit.
+    backlog into batches whose keys stay within the broadcast limit. With
+    ``same_day_copies`` a batch is checked against the stored days it spans only.
     """
     return start_silver(
         file_stream(spark, lake.bronze, BRONZE, **source),
-        events_table(lake.silver_events),
-        orders_table(lake.silver_orders),
+        events_table(lake.silver_events, same_day_copies),
+        orders_table(lake.silver_orders, same_day_copies),
         lake.checkpoint(checkpoint),
         trigger,
+        rejects_path,
     )
 
 
+def run_compact(spark: SparkSession, lake: Lake, into: Lake) -> dict[str, int]:
+    """Merge the silver batches into day files under another root; rows per table."""
+    tables = {"events": events_table, "orders": orders_table}
+    merged = {}
+    for name, table in tables.items():
+        source, target = getattr(lake, f"silver_{name}"), getattr(into, f"silver_{name}")
+        merged[name] = compact(spark, table(source), target).read(spark).count()
+    return merged
+
+
 def run_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
     """Rebuild the gold aggregates and their single-file exports."""
     events = events_table(lake.silver_events).read(spark)
@@ -110,8 +127,11 @@ def run_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
     return rows
 
 
-def run_reviews(spark: SparkSession, lake: Lake, paths_by_category: Mapping[str, str]) -> int:
-    reviews = load_reviews(spark, paths_by_category)
+def run_reviews(
+    spark: SparkSession, lake: Lake, paths_by_category: Mapping[str, str], **limits: int | None
+) -> int:
+    """Load the review slices whole, unless ``limits`` of ``load_reviews`` are given."""
+    reviews = load_reviews(spark, paths_by_category, **limits)
     return overwrite_table(reviews, lake.reviews, "product_category")
 
 
@@ -130,18 +150,26 @@ def run_sentiment(
 
 
 def run_propensity(
-    spark: SparkSession, lake: Lake, settings: TreeSettings = TreeSettings()
+    spark: SparkSession, lake: Lake, label_day: dt.date, settings: TreeSettings = TreeSettings()
 ) -> tuple[int, int]:
-    """Train on the gold features, register, score every user: (version, users)."""
-    features = read_table(spark, lake.gold("user_features"))
-    sides = with_split(features)
+    """Train, register, score every user: (version, users).
+
+    The label is a purchase on or after ``label_day``, the features are counted
+    over the days before it. The users scored are those of the gold features.
+    """
+    events = events_table(lake.silver_events).read(spark)
+    orders = orders_table(lake.silver_orders).read(spark)
+    path = scratch_dir(spark, "labelled")
+    with_split(labelled_features(events, orders, label_day)).write.parquet(path)
+    sides = read_table(spark, path)
     training = sides.filter("side = 'train'")
     model = fit_propensity(training, settings)
     validation = predict(model, sides.filter("side = 'validation'"))
     metrics = ranking_metrics(validation).first().asDict()
-    logged = {name: value for name, value in metrics.items() if name != "users"}
+    logged = {name: value for name, value in metrics.items() if name not in ("users", "unranked")}
     register_model(spark, model, lake.models, settings, logged, training)
     version, latest = load_model(spark, lake.models)
+    features = read_table(spark, lake.gold("user_features"))
     scores = propensity_table(predict(latest, features), version)
     return version, overwrite_table(scores, lake.gold("user_propensity"))
 

@@ -99,13 +99,131 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivered = event_payloads(spark, sf_dir).withColumn("copy", F.explode(copies))
     routed = route_events(delivered, "number", "user_number", "timestamp", "copy")
     return routed.select(
-        *["key", "value", "topic"],
+        "key",
+        "value",
+        "topic",
         F.pmod("user_number", F.lit(4)).cast("int").alias("partition"),
         (F.col("number") * 2 + F.col("copy")).alias("offset"),
         "timestamp",
     ).to(StructType.fromDDL(KAFKA_RECORD))
 
 
+def odd_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with broken rows by rule, on the event number.
+
+    Of every 40: 1 has no event id, 2 no user, 3 an empty session (kept), 4 an
+    unreadable time, 5 a payload that is no JSON, 6 no payload. Purchases numbered 3 modulo 7
+    share an order id in pairs, and those 2 modulo 11 have NaN as total.
+    """
+    payloads = event_payloads(spark, sf_dir)
+    turn = F.col("number") % 40
+    missing = F.lit(None).cast("string")
+    order = F.col("order")
+    paired = F.col("number") % 7 == 3
+    shared = F.concat(F.lit("pair-"), F.floor(F.col("number") / 14).cast("string"))
+    total = F.when(F.col("number") % 11 == 2, F.lit(float("nan"))).otherwise(order["order_total"])
+    changed = payloads.withColumns(
+        {
+            "event_id": F.when(turn == 1, missing).otherwise(F.col("event_id")),
+            "user_id": F.when(turn == 2, missing).otherwise(F.col("user_id")),
+            "session_id": F.when(turn == 3, "").otherwise(F.col("session_id")),
+            "event_ts": F.when(turn == 4, "yesterday").otherwise(F.col("event_ts")),
+            "order": F.when(
+                order.isNotNull(),
+                order.withField("order_id", F.when(paired, shared).otherwise(order["order_id"])).withField(
+                    "order_total", total
+                ),
+            ),
+        }
+    )
+    routed = route_events(changed, "number", "user_number", "timestamp")
+    value = F.when(turn == 5, F.lit("{broken").cast("binary")).when(turn != 6, F.col("value"))
+    return routed.select(
+        "key",
+        value.alias("value"),
+        "topic",
+        F.pmod("user_number", F.lit(4)).cast("int").alias("partition"),
+        F.col("number").alias("offset"),
+        "timestamp",
+    ).to(StructType.fromDDL(KAFKA_RECORD))
+
+
+def odd_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Review records: of every 9, text 1 is blank, 2 missing, rating 3 is 0.9, 4 is 6, 5 missing."""
+    turn = F.col("seq") % 9
+    text = F.when(turn == 1, " \n\t ").when(turn != 2, F.col("text"))
+    rating = F.when(turn == 3, 0.9).when(turn == 4, 6.0).when(turn != 5, F.col("rating"))
+    return review_records(spark, sf_dir).withColumns({"text": text, "rating": rating})
+
+
+def odd_raw(sales, funnel, sentiment, propensity, spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw tables with rows the staging filters must drop and letters they must fold."""
+    day = F.dayofmonth("order_date")
+    odd_sales = sales(spark, sf_dir).withColumns(
+        {
+            "product_category": F.initcap("product_category"),
+            "revenue": F.when(day % 5 == 1, -F.col("revenue")).otherwise(F.col("revenue")),
+            "order_date": F.when(day % 5 != 2, F.col("order_date")),
+        }
+    )
+    odd_funnel = funnel(spark, sf_dir).withColumn(
+        "event_date", F.when(F.dayofmonth("event_date") % 5 != 1, F.col("event_date"))
+    )
+    number = F.substring_index("review_id", "-", -1).cast("bigint")
+    odd_sentiment = sentiment(spark, sf_dir).withColumns(
+        {
+            "sentiment_label": F.lower("sentiment_label"),
+            "star_rating": F.when(number % 5 == 1, 6).when(number % 5 == 2, 0).otherwise(F.col("star_rating")),
+            "review_id": F.when(number % 5 != 3, F.col("review_id")),
+        }
+    )
+    events = F.col("events_30d")
+    odd_propensity = propensity(spark, sf_dir).withColumns(
+        {
+            "score_band": F.lower("score_band"),
+            "propensity_score": F.when(events % 5 == 1, F.col("propensity_score") + 1.5)
+            .when(events % 5 == 2, F.lit(None))
+            .otherwise(F.col("propensity_score")),
+            "user_id": F.when(events % 5 != 3, F.col("user_id")),
+        }
+    )
+    return {
+        "raw_daily_sales": odd_sales,
+        "raw_funnel_daily": odd_funnel,
+        "raw_review_sentiment": odd_sentiment,
+        "raw_user_propensity": odd_propensity,
+    }
+
+
+def odd_marts(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The marts with a missing key per rule, repeated keys, and days whose shares do not add up."""
+    revenue, funnel = marts["fct_daily_revenue"], marts["fct_funnel_conversion"]
+    sentiment, users = marts["fct_category_sentiment"], marts["dim_user_segments"]
+    day = F.dayofmonth("order_date")
+    books = F.col("product_category") == "books"
+    first = F.dayofmonth("event_date") == 1
+    few = F.col("events_30d") % 7 == 1
+    return {
+        "fct_daily_revenue": revenue.withColumns(
+            {
+                "category_revenue_share": F.when(books & (day % 3 == 1), 2.0).otherwise(
+                    F.col("category_revenue_share")
+                ),
+                "revenue": F.when(books & (day % 4 == 1), F.lit(None)).otherwise(F.col("revenue")),
+            }
+        ).withColumn("product_category", F.when(~books | (day % 5 != 1), F.col("product_category"))),
+        "fct_funnel_conversion": funnel.unionByName(funnel.filter(first)).unionByName(
+            funnel.filter(F.dayofmonth("event_date") == 2).withColumn("event_date", F.lit(None).cast("date"))
+        ),
+        "fct_category_sentiment": sentiment.unionByName(sentiment.filter(books)).unionByName(
+            sentiment.filter(books).withColumn("product_category", F.lit(None).cast("string"))
+        ),
+        "dim_user_segments": users.unionByName(users.filter(few)).withColumn(
+            "user_id", F.when(F.col("events_30d") % 7 != 2, F.col("user_id"))
+        ),
+    }
+
+
 def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_events(kafka_records(spark, sf_dir))
 

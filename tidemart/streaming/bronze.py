@@ -15,7 +15,10 @@ from tidemart.streaming.triggers import DRAIN
 def bronze_records(records: DataFrame) -> DataFrame:
     """Log position, key as text, the value's bytes untouched, and arrival time."""
     return records.select(
-        *["topic", "partition", "offset", "timestamp"],
+        "topic",
+        "partition",
+        "offset",
+        "timestamp",
         F.col("key").cast("string").alias("key"),
         "value",
         F.current_timestamp().alias("ingested_at"),

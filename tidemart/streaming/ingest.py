@@ -39,9 +39,9 @@ def start_ingest(
 
 
 def load_history(
-    loaded: DataFrame, hours: int | None = 24, now: dt.datetime | Column | None = None
+    loaded: DataFrame, hours: int | None = None, now: dt.datetime | Column | None = None
 ) -> DataFrame:
-    """Rows and last load time per source file, for the last ``hours``."""
+    """Rows and last load time per source file; of the last ``hours`` only, if given."""
     if hours is not None:
         end = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
         start = end - F.make_dt_interval(hours=F.lit(hours))

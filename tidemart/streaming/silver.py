@@ -11,7 +11,7 @@ it wrote before; a stream restarted without its checkpoint gets a new
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark import StorageLevel
@@ -27,8 +27,12 @@ from tidemart.streaming.triggers import DRAIN
 LINEAGE = ["stream_id", "batch_id"]
 LINEAGE_SCHEMA = "stream_id STRING, batch_id BIGINT"
 
-# A batch's keys are broadcast up to this many bytes of key text.
-BROADCAST_KEY_BYTES = 64 * 1024 * 1024
+# The stream that merged batches are kept under.
+COMPACTED = "compacted"
+
+# A batch's keys are broadcast up to this many bytes of key text; hashed, they take
+# several times as much on each executor.
+BROADCAST_KEY_BYTES = 16 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -102,6 +106,29 @@ def insert_new(batch: DataFrame, table: KeyedTable, stream_id: str, batch_id: in
     writer.partitionBy(*LINEAGE, "event_date").parquet(table.path)
 
 
+def compact(spark: SparkSession, table: KeyedTable, path: str) -> KeyedTable:
+    """A copy of a table under ``path`` with all finished batches merged into day files.
+
+    The last batch of each stream keeps its own partition: only that one can be
+    replayed, and a replay overwrites it. Earlier batches become one partition
+    per day, whatever their number. Run it while the stream is stopped, then start
+    the stream on the copy with the same checkpoint; the old folder stays as it is.
+    """
+    stored = table.stored(spark)
+    last = stored.groupBy("stream_id").agg(F.max("batch_id").alias("last_batch"))
+    # One row per stream, so the join is a broadcast of a few rows by size.
+    marked = stored.join(last, "stream_id")
+    final = F.col("batch_id") == F.col("last_batch")
+    merged = marked.withColumns(
+        {
+            "stream_id": F.when(final, F.col("stream_id")).otherwise(F.lit(COMPACTED)),
+            "batch_id": F.when(final, F.col("batch_id")).otherwise(F.lit(0).cast("bigint")),
+        }
+    ).select(*stored.columns)
+    merged.hint("rebalance", "event_date").write.partitionBy(*LINEAGE, "event_date").parquet(path)
+    return replace(table, path=path)
+
+
 def make_upsert(
     events: KeyedTable, orders: KeyedTable, rejects_path: str | None = None
 ) -> Callable[[DataFrame, int], None]:
