@@ -261,9 +261,9 @@ def test_top_k(spark):
     expected = []
     for q, v in valid:
         if q % 50 == 0:
-            scores = [(-sum(a * b for a, b in zip(v, w)), i) for i, w in valid if i != q and len(w) == len(v)]
-            for rank, (s, i) in enumerate(sorted(scores)[:5], 1):
-                expected.append((q, rank, i, min(max(-s, -(1 << 63)), (1 << 63) - 1)))
+            products = [(sum(a * b for a, b in zip(v, w)), i) for i, w in valid if i != q and len(w) == len(v)]
+            scores = [(-min(max(s, -(1 << 63)), (1 << 63) - 1), i) for s, i in products]
+            expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:5], 1)]
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == sorted(expected)
     none = spark.createDataFrame([], VECTORS)
     assert topk.top_k(none, none).count() == 0

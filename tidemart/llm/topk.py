@@ -105,13 +105,17 @@ def local_scores(queries: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
     return [np.asarray(whole[0][:, g].dot(whole[1][:, g].T), dtype=object) for g in groups]
 
 
-def _best(ids: np.ndarray, totals: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k highest totals, ties to the smaller key."""
-    return np.lexsort((ids, -totals))[:k]
+def _cut(totals: np.ndarray) -> np.ndarray:
+    """Totals cut to the range of 64-bit integers; doubles here are exact and far inside it."""
+    if totals.dtype != object:
+        return totals.astype(np.int64)
+    return np.clip(totals, int(TOP.min), int(TOP.max)).astype(np.int64)
 
 
-def _as_long(totals) -> list[int]:
-    return [int(min(max(int(t), TOP.min), TOP.max)) for t in totals]
+def _best(ids: np.ndarray, totals: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest totals, ties to the smaller key."""
+    # The bitwise complement orders downwards and has no overflow.
+    return np.lexsort((ids, ~totals))[:k]
 
 
 def _gathered(k: int):
@@ -122,7 +126,7 @@ def _gathered(k: int):
         ids, matrix = _matrix(row["ids"], row["matrix"], row["dimensions"])
         lists = local_scores(queries, matrix)
         out = {"query_id": [], "vec_id": [], "score": []}
-        total = sum(lists)
+        total = _cut(sum(lists))
         few = min(len(ids), k + 1)
         for q, query in enumerate(query_ids.tolist()):
             places: set[int] = set()
@@ -135,7 +139,7 @@ def _gathered(k: int):
             at = at[_best(ids[at], total[q][at], k)]
             out["query_id"] += [query] * len(at)
             out["vec_id"] += ids[at].tolist()
-            out["score"] += _as_long(total[q][at])
+            out["score"] += total[q][at].tolist()
         return out
 
     return rows_of
@@ -168,11 +172,11 @@ def _resolved(k: int):
             at = at[ids[at] != query]
             if not len(at):
                 continue
-            total = sum(scores[q][at] for scores in lists)
+            total = _cut(sum(scores[q][at] for scores in lists))
             best = _best(ids[at], total, k)
             out["query_id"] += [query] * len(best)
             out["vec_id"] += ids[at[best]].tolist()
-            out["score"] += _as_long(total[best])
+            out["score"] += total[best].tolist()
         return out
 
     return rows_of
