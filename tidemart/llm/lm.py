@@ -55,7 +55,7 @@ BITS = 10
 LEAST_BITS = 6
 PROBES = 4
 # A block of documents, in characters and documents (their numbers are 16-bit).
-BLOCK_CHARS = 12 << 20
+BLOCK_CHARS = 24 << 20
 BLOCK_DOCS = 1 << 16
 CHUNK_CHARS = 1 << 18
 NULL_KEY = -(1 << 63)
