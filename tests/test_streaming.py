@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from conftest import event, order
@@ -108,6 +109,17 @@ def test_same_day_lookup_reads_only_the_days_of_the_batch(spark, lake, log):
     insert([event("e1"), event("e2", **other)], 0)
     insert([event("e1"), event("e2", **other), event("e3")], 1)
     assert sorted(r.event_id for r in table.read(spark).collect()) == ["e1", "e2", "e3"]
+    batch = silver.clean_events(silver.parse_events(log([event("e9")])))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        narrow = silver.candidates(batch, table, "s1", 2).select("event_id")
+        plan = narrow._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)[1]
+    assert re.search(r"event_date#\d+ [=>]", filters)
+    days = {r.event_date for r in silver.candidates(batch, table, "s1", 2).collect()}
+    assert days == {dt.date(2025, 3, 14)}
 
 
 def test_a_replayed_batch_rewrites_only_itself(spark, lake, log):

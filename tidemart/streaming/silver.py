@@ -86,19 +86,24 @@ def unseen(
     return batch.filter(F.col(key).isNotNull()).join(known, key, "left_anti")
 
 
-def insert_new(batch: DataFrame, table: KeyedTable, stream_id: str, batch_id: int) -> None:
-    """Write the rows of one batch whose keys are new to the table.
-
-    The rebalance groups rows by day for the partitioned write and lets the
-    adaptive planner split a day that is much larger than the others.
-    """
+def candidates(batch: DataFrame, table: KeyedTable, stream_id: str, batch_id: int) -> DataFrame:
+    """The stored rows a batch is checked against, cut to whole partitions."""
     stored = table.stored(batch.sparkSession)
     replaced = (F.col("stream_id") == stream_id) & (F.col("batch_id") >= batch_id)
     others = stored.filter(~replaced)
     if table.same_day_copies:
         first, last = batch.agg(F.min("event_date"), F.max("event_date")).first()
         others = others.filter(F.col("event_date").between(F.lit(first), F.lit(last)))
-    fresh = unseen(batch, others, table.key)
+    return others
+
+
+def insert_new(batch: DataFrame, table: KeyedTable, stream_id: str, batch_id: int) -> None:
+    """Write the rows of one batch whose keys are new to the table.
+
+    The rebalance groups rows by day for the partitioned write and lets the
+    adaptive planner split a day that is much larger than the others.
+    """
+    fresh = unseen(batch, candidates(batch, table, stream_id, batch_id), table.key)
     stamped = fresh.hint("rebalance", "event_date").withColumns(
         {"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("bigint")}
     )
