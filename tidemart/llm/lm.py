@@ -49,7 +49,7 @@ UNIGRAM = np.uint64(0x2545F4914F6CDD1D)
 BIGRAM = np.uint64(0x9FB21C651E98DF25)
 LOG_BASE = 1.5
 MAX_LEVEL = 100
-MU = 20.0
+MU = 1000.0
 FILTER_BYTES = 64 << 20
 BITS = 10
 LEAST_BITS = 6
