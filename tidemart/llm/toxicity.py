@@ -160,7 +160,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, lexico
     share = {k: min(1.0, per_class / n) for k, n in sizes.items()}
     draw = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(steps))
     chosen = labels.where(draw < F.when(F.col("toxic") == 1, int(share[1] * steps)).otherwise(int(share[0] * steps)))
-    sample = narrow(docs).join(chosen, "doc_id").select("toxic", "text")
+    # At most about 2 * per_class pairs of numbers, so no text is shuffled to meet them.
+    sample = narrow(docs).join(F.broadcast(chosen), "doc_id").select("toxic", "text")
 
     def count_presence():
         def step(batch: pa.RecordBatch):
