@@ -436,7 +436,7 @@ def score_documents(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"),
     )
     blocks = saved(block_rows(rows), "token-blocks")
-    counts = blocks.where(F.col("kind") == 0).groupBy("key").agg(F.sum("n").alias("c"))
+    counts = saved(blocks.where(F.col("kind") == 0).groupBy("key").agg(F.sum("n").alias("c")), "token-counts")
     totals = counts.where(F.col("c") > 0).agg(F.sum("c"), F.count("*")).first()
     n_tokens, n_distinct = int(totals[0] or 0), int(totals[1])
     base = base_scores(blocks, counts, n_tokens, n_distinct)
