@@ -77,10 +77,13 @@ def text_chunks(batch: pa.RecordBatch, limit: int, column: str = "text") -> Iter
 
 
 def saved(frame: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage, survives lost executors."""
+    """Write to the shared folder and read back: cuts lineage, survives lost executors.
+
+    Intermediate tables are read a few times at most, so a smaller file is worth the time to pack it.
+    """
     spark: SparkSession = frame.sparkSession
     path = scratch_dir(spark, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
