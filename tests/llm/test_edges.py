@@ -224,6 +224,21 @@ def test_counts_in_the_filter():
     assert np.array_equal(np.sort(lm._unpacked(packed)[1]), np.sort(counts[:100]))
 
 
+def test_no_ngram_is_left_out_of_the_filter(spark):
+    """Where every word is new, each n-gram of a training text still has its count of 1."""
+    texts = [" ".join(f"w{d}x{i}" for i in range(400)) for d in range(60)]
+    frame = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in enumerate(texts)], DOCUMENTS).repartition(3)
+    rows = lm.score_documents(frame).collect()
+    n = rows[0].train_tokens
+    learned = [r for r in rows if not r.held_out]
+    assert n == 401 * len(learned) and len(rows) == 60 > len(learned) > 30
+    bottom = n + 0.5 * (400 * len(learned) + 2)
+    exact = 400 * np.log10((1 + lm.MU * 1.5 / bottom) / (1 + lm.MU))
+    # Apart from the words: the first follows START, and the end follows the last word.
+    assert all(r.score == pytest.approx(exact, rel=0.05) for r in learned)
+    assert all(r.score < 1.3 * exact for r in rows if r.held_out)
+
+
 def test_parsing(odd, nothing):
     rows = collected(parsing.compare_edited(odd))
     assert [r.doc_id for r in rows] == IDS

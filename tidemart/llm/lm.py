@@ -9,17 +9,15 @@ token's probability given the one before is
     P(w | v) = (min(c(v w), c(v)) + MU * P(w)) / (c(v) + MU),   P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))
 
 with all three counts from probes. The filter has segments by hash; each is built by one task
-from all counts of its n-grams and gets the same share of the bits. It takes
-``BITS`` bits for each training token and never more than ``FILTER_BYTES``, the bound on
-what is collected and broadcast. Where a segment's entries would not fit at
-``LEAST_BITS`` bits each, its n-grams of the lowest levels are left out (their
-probes then fall back on the smoothing); every segment applies the same rule.
-
-The base score needs exact counts of an unbounded vocabulary, so it is joined,
-not broadcast. Documents are cut into blocks; a block has one row per distinct token,
-with the token's count in training documents and the documents that hold it. These rows meet the
-summed counts by token, and sums per document return to their block. A frequent token is one
-row per block, whatever its number of occurrences.
+from all counts of its n-grams and has ``BITS`` bits for every entry, so no n-gram is left out and
+the share of false levels is the same at any size. The filter is never collected or broadcast: each
+block of documents sends its distinct n-grams, with their training counts, to their segments
+once; the segment's task builds it, probes it for them and sends the levels back to the block.
+
+The base score needs exact counts of an unbounded vocabulary; they go the same way, by the
+whole 64-bit hash of the token: a segment sums the counts of its tokens over all blocks and sends the sums back.
+A block is written once, its documents' tokens as numbers of the distinct ones; a
+frequent token is one entry per block and segment, whatever its number of occurrences.
 
 Defined results: a NULL text is the empty one, a single end token. A document with a
 NULL key is never learned from and held out. Without training documents N is 0, every
@@ -29,7 +27,6 @@ separate documents; an empty table gives an empty result; extra columns are igno
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import fold, map_batches, narrow, saved, shuffle_partitions, text_chunks
+from tidemart.llm.common import fold, narrow, saved, shuffle_partitions, text_chunks
 from tidemart.llm.word_hash import mix, word_hashes
 
 END = np.uint64(0xE17A1465D5A3B0C1)
@@ -50,17 +47,19 @@ BIGRAM = np.uint64(0x9FB21C651E98DF25)
 LOG_BASE = 1.5
 MAX_LEVEL = 100
 MU = 1000.0
-FILTER_BYTES = 64 << 20
 BITS = 10
-LEAST_BITS = 6
 PROBES = 4
-# A block of documents, in characters and documents (their numbers are 16-bit).
+# A block of documents, in characters and documents.
 BLOCK_CHARS = 24 << 20
 BLOCK_DOCS = 1 << 16
 CHUNK_CHARS = 1 << 18
 NULL_KEY = -(1 << 63)
 SEGMENTS_PER_PARTITION = 4
 KEY_BITS = 40
+ROWS = "kind int, block long, segment int, n long, data binary"
+# Kinds of rows: a block's documents; for a block and a segment its tokens or n-grams; a segment's
+# training tokens (in block) and how many are distinct (in n).
+DOCUMENTS, TOKENS, NGRAMS, VOCABULARY = range(4)
 
 
 # --- counts
@@ -89,10 +88,9 @@ def unigrams(tokens: np.ndarray) -> np.ndarray:
 
 
 def block_rows(docs: DataFrame) -> DataFrame:
-    """Rows by block: kind 0, a distinct token (key, training count n, postings); kind 1, its documents.
+    """One row for each block, its documents and their tokens; n is the number of documents.
 
-    ``docs`` has (doc_id, text, train, text_key). Postings are document numbers
-    within the block and counts, 16 bits each; a larger count takes several postings.
+    ``docs`` has (doc_id, text, train).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
@@ -101,142 +99,148 @@ def block_rows(docs: DataFrame) -> DataFrame:
         keys: list[np.ndarray] = []
         chars = n_docs = 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
             nonlocal number, chars, n_docs
             block = (part << 24) | number
             tokens, counts = np.concatenate(hashes), np.concatenate(sizes)
-            ids, train, text_keys = (np.concatenate([k[i] for k in keys]) for i in range(3))
+            ids, train = (np.concatenate([k[i] for k in keys]) for i in range(2))
             number, chars, n_docs = number + 1, 0, 0
             hashes.clear(), sizes.clear(), keys.clear()
-            yield _batch([1], [block], [0], [len(ids)], [np.concatenate([ids, text_keys, counts]).astype("<i8").tobytes()])
-            doc = np.repeat(np.arange(len(counts), dtype=np.uint16), counts)
-            order = np.argsort(tokens, kind="stable")
-            tokens, doc = tokens[order], doc[order]
-            fresh = np.empty(len(tokens), dtype=bool)
-            fresh[0] = True
-            fresh[1:] = (tokens[1:] != tokens[:-1]) | (doc[1:] != doc[:-1])
-            at = np.flatnonzero(fresh)
-            often = np.diff(np.append(at, len(tokens)))
-            tokens, doc = tokens[at], doc[at]
-            learned = often * train[doc]
-            if often.max(initial=0) > 0xFFFF:
-                pieces = -(-often // 0xFFFF)
-                last = np.cumsum(pieces) - 1
-                tokens, doc, learned = (np.repeat(x, pieces) for x in (tokens, doc, learned))
-                rest = often - (pieces - 1) * 0xFFFF
-                often = np.full(len(tokens), 0xFFFF)
-                often[last] = rest
-                counted = np.zeros(len(tokens), dtype=bool)
-                counted[last] = True
-                learned = learned * counted
-            begins = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-            postings = np.stack([doc, often.astype(np.uint16)], axis=1).astype("<u2").tobytes()
-            totals = np.add.reduceat(learned, begins)
-            ends = np.append(begins[1:], len(tokens))
-            step = 50_000
-            for start in range(0, len(begins), step):
-                stop = min(start + step, len(begins))
-                cuts = np.append(begins[start:stop], ends[stop - 1]) * 4
-                data = pa.Array.from_buffers(
-                    pa.binary(),
-                    stop - start,
-                    [None, pa.py_buffer((cuts - cuts[0]).astype(np.int32)), pa.py_buffer(postings[cuts[0] : cuts[-1]])],
-                )
-                own = tokens[begins[start:stop]].astype(np.int64)
-                yield _batch(np.zeros(stop - start, np.int32), np.full(stop - start, block), own, totals[start:stop], data)
+            about = np.concatenate([ids, counts, train]).astype("<i8").tobytes()
+            return _batch([DOCUMENTS], [block], [0], [len(ids)], [about + _numbered(tokens)])
 
         for batch in batches:
             for first, texts in text_chunks(batch, CHUNK_CHARS):
                 tokens, counts = _with_ends(*word_hashes(texts))
                 hashes.append(tokens)
                 sizes.append(counts)
-                keys.append(tuple(batch.column(c).slice(first, len(texts)).to_numpy() for c in ("doc_id", "train", "text_key")))
+                keys.append(tuple(batch.column(c).slice(first, len(texts)).to_numpy() for c in ("doc_id", "train")))
                 chars, n_docs = chars + sum(map(len, texts)), n_docs + len(texts)
                 if chars > BLOCK_CHARS or n_docs > BLOCK_DOCS // 2:
-                    yield from flush()
+                    yield flush()
         if hashes:
-            yield from flush()
+            yield flush()
 
-    return docs.mapInArrow(run, "kind int, block long, key long, n long, data binary")
+    return docs.mapInArrow(run, ROWS)
 
 
-def _batch(kind, block, key, n, data) -> pa.RecordBatch:
+def _batch(kind, block, segment, n, data) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(kind, pa.int32()),
             pa.array(block, pa.int64()),
-            pa.array(key, pa.int64()),
+            pa.array(segment, pa.int32()),
             pa.array(n, pa.int64()),
-            data if isinstance(data, pa.Array) else pa.array(data, pa.binary()),
+            pa.array(data, pa.binary()),
         ],
-        names=["kind", "block", "key", "n", "data"],
+        names=["kind", "block", "segment", "n", "data"],
     )
 
 
-def base_scores(rows: DataFrame, counts: DataFrame, n_tokens: int, n_distinct: int) -> DataFrame:
-    """(doc_id, text_key, n_tokens, n_known, base_score) from the block rows and (key, c)."""
-    denominator = n_tokens + 0.5 * (n_distinct + 1)
-    joined = rows.where(F.col("kind") == 0).select("block", "key", "data").join(counts, "key").select("block", "data", "c")
-
-    def partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = defaultdict(list)
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            blocks, data = [], []
-            for block, parts in held.items():
-                doc, logs, known = (np.concatenate([p[i] for p in parts]) for i in range(3))
-                found = np.unique(doc)
-                at = np.searchsorted(found, doc)
-                sums = [np.bincount(at, weights=w, minlength=len(found)) for w in (logs, known)]
-                blocks.append(block)
-                data.append(found.astype("<u2").tobytes() + sums[0].astype("<f8").tobytes() + sums[1].astype("<i8").tobytes())
-            held.clear()
-            n = len(blocks)
-            yield _batch(np.full(n, 2, np.int32), blocks, np.zeros(n, np.int64), [len(d) // 18 for d in data], data)
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of unsigned values, all first bytes, then all second ones: packs well."""
+    raw = np.ascontiguousarray(values)
+    return raw.view(np.uint8).reshape(len(raw), raw.itemsize)[:, :width].T.tobytes()
+
+
+def _from_planes(data: bytes, n: int, width: int, kind: str) -> np.ndarray:
+    wide = np.zeros((n, np.dtype(kind).itemsize), dtype=np.uint8)
+    wide[:, :width] = np.frombuffer(data, dtype=np.uint8, count=n * width).reshape(width, n).T
+    return wide.reshape(-1).view(kind)
+
+
+def _numbered(tokens: np.ndarray) -> bytes:
+    """The distinct tokens, frequent ones first, and the number of each token among them."""
+    order = np.argsort(tokens, kind="stable")
+    ranked = tokens[order]
+    begins = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    often = np.diff(np.append(begins, len(ranked)))
+    by_count = np.argsort(-often, kind="stable")
+    number = np.empty(len(begins), dtype="<u4")
+    number[by_count] = np.arange(len(begins), dtype="<u4")
+    numbers = np.empty(len(tokens), dtype="<u4")
+    numbers[order] = np.repeat(number, often)
+    packed = pa.compress(_planes(numbers, 4), codec="zstd", asbytes=True)
+    return np.array([len(begins), len(tokens)], "<i8").tobytes() + ranked[begins][by_count].astype("<u8").tobytes() + packed
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            column = batch.column("data")
-            cuts = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
-            pairs = np.frombuffer(column.buffers()[2], dtype="<u2")[cuts[0] // 2 : cuts[-1] // 2].reshape(-1, 2)
-            each = np.diff(cuts) // 4
-            c = np.repeat(batch.column("c").to_numpy(), each)
-            block = np.repeat(batch.column("block").to_numpy(), each)
-            order = np.argsort(block, kind="stable")
-            block, c, pairs = block[order], c[order], pairs[order]
-            often = pairs[:, 1].astype(np.float64)
-            logs, known = np.log10((c + 0.5) / denominator) * often, (c > 0) * often
-            begins = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-            for a, b in zip(begins, np.append(begins[1:], len(block))):
-                held[int(block[a])].append((pairs[a:b, 0].copy(), logs[a:b], known[a:b]))
-            size += len(block)
-            if size > 2_000_000:
-                yield from flush()
-                size = 0
-        if held:
-            yield from flush()
-
-    sums = joined.mapInArrow(partial_sums, "kind int, block long, key long, n long, data binary")
+
+@dataclass
+class Block:
+    """The documents of a block, their tokens as numbers of the distinct ones, and its distinct n-grams."""
+
+    ids: np.ndarray
+    counts: np.ndarray
+    train: np.ndarray
+    distinct: np.ndarray
+    numbers: np.ndarray
+    codes: np.ndarray  # of its distinct n-grams, sorted by segment and key
+    pairs: np.ndarray  # for each token the place of its bigram in codes
+    alone: np.ndarray  # for each distinct token, and START as the last, the place of its unigram
+
+    @staticmethod
+    def read(n: int, data: bytes, segments: int) -> Block:
+        ids, counts, train = np.frombuffer(data, dtype="<i8", count=3 * n).reshape(3, n)
+        n_distinct, n_tokens = np.frombuffer(data, dtype="<i8", count=2, offset=24 * n).tolist()
+        distinct = np.frombuffer(data, dtype="<u8", count=n_distinct, offset=24 * n + 16)
+        packed = memoryview(data)[24 * n + 16 + 8 * n_distinct :]
+        planes = pa.decompress(packed, decompressed_size=4 * n_tokens, codec="zstd", asbytes=True)
+        numbers = _from_planes(planes, n_tokens, 4, "<u4")
+        segment, keys = located(np.concatenate([bigrams(distinct[numbers], counts), unigrams(np.append(distinct, START))]), segments)
+        codes, back = np.unique((segment.astype(np.uint64) << np.uint64(KEY_BITS)) | keys, return_inverse=True)
+        return Block(ids, counts, train, distinct, numbers, codes, back[:n_tokens], back[n_tokens:])
+
+    def training_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each distinct token and of each code, the count in training documents."""
+        n = len(self.codes)
+        learned = np.repeat(self.train, self.counts)
+        tokens = np.bincount(self.numbers, weights=learned, minlength=len(self.distinct))
+        alone = np.append(tokens, self.train.sum())
+        ngrams = np.bincount(self.pairs, weights=learned, minlength=n) + np.bincount(self.alone, weights=alone, minlength=n)
+        return tokens.astype(np.int64), ngrams.astype(np.int64)
+
+    def token_order(self, segments: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct tokens' places sorted by segment and hash, and the segments in that order."""
+        segment = located(self.distinct, segments)[0]
+        order = np.lexsort([self.distinct, segment])
+        return order, segment[order]
+
+    def base_scores(self, c: np.ndarray, n_tokens: int, n_distinct: int) -> tuple[np.ndarray, np.ndarray]:
+        """(n_known, base score) of each text from the counts of the distinct tokens."""
+        begins = np.cumsum(self.counts) - self.counts
+        logs = np.log10((c + 0.5) / (n_tokens + 0.5 * (n_distinct + 1)))
+        return np.add.reduceat((c > 0).astype(np.int64)[self.numbers], begins), np.add.reduceat(logs[self.numbers], begins)
+
+    def scores(self, levels: np.ndarray, n_tokens: int, n_distinct: int) -> np.ndarray:
+        """log10 probability of each text with its end, from the levels of the codes."""
+        begins = np.cumsum(self.counts) - self.counts
+        left = np.empty(len(self.numbers), dtype=np.int64)
+        left[1:] = self.numbers[:-1]
+        left[begins] = len(self.alone) - 1
+        estimated = LEVEL_COUNT[levels]
+        single = estimated[self.alone]
+        before = single[left]
+        alone = np.minimum((single + 0.5) / (n_tokens + 0.5 * (n_distinct + 1)), 1.0)[self.numbers]
+        both = np.minimum(estimated[self.pairs], before)
+        return np.add.reduceat(np.log10(np.minimum(1.0, (both + MU * alone) / (before + MU))), begins)
+
+
+def block_scores(rows: DataFrame, segments: int, n_tokens: int, n_distinct: int) -> DataFrame:
+    """(doc_id, n_tokens, n_known, base_score, score) from the blocks and what the segments sent back."""
 
     def close(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        about = parts[parts["kind"] == 1].iloc[0]
-        n = int(about["n"])
-        ids, text_keys, tokens = np.frombuffer(about["data"], dtype="<i8").reshape(3, n)
-        logs, known = np.zeros(n), np.zeros(n, dtype=np.int64)
-        # Parts in a fixed order of their contents, so that reruns add alike.
-        for data, m in sorted(zip(parts["data"][parts["kind"] == 2], parts["n"][parts["kind"] == 2])):
-            doc = np.frombuffer(data, dtype="<u2", count=m)
-            logs[doc] += np.frombuffer(data, dtype="<f8", count=m, offset=2 * m)
-            known[doc] += np.frombuffer(data, dtype="<i8", count=m, offset=10 * m)
-        return pd.DataFrame({"doc_id": ids, "text_key": text_keys, "n_tokens": tokens, "n_known": known, "base_score": logs})
-
-    about = rows.where(F.col("kind") == 1)
-    return (
-        sums.unionByName(about)
-        .groupBy("block")
-        .applyInPandas(close, "doc_id long, text_key long, n_tokens long, n_known long, base_score double")
+        about = parts[parts["kind"] == DOCUMENTS].iloc[0]
+        block = Block.read(int(about["n"]), about["data"], segments)
+        parts = parts.sort_values("segment")
+        tokens, ngrams = (parts[parts["kind"] == k] for k in (TOKENS, NGRAMS))
+        c = np.empty(len(block.distinct), dtype=np.int64)
+        c[block.token_order(segments)[0]] = np.concatenate([_numbers_from(d, n, 8) for d, n in zip(tokens["data"], tokens["n"])])
+        levels = np.concatenate([_numbers_from(d, n, 1) for d, n in zip(ngrams["data"], ngrams["n"])])
+        known, base = block.base_scores(c, n_tokens, n_distinct)
+        scores = block.scores(levels, n_tokens, n_distinct)
+        return pd.DataFrame({"doc_id": block.ids, "n_tokens": block.counts, "n_known": known, "base_score": base, "score": scores})
+
+    return rows.groupBy("block").applyInPandas(
+        close, "doc_id long, n_tokens long, n_known long, base_score double, score double"
     )
 
 
@@ -269,9 +273,11 @@ class CountFilter:
 
     def levels(self, ngrams: np.ndarray) -> np.ndarray:
         """The level of each n-gram, by probing level after level until one is missing."""
-        segment, keys = located(ngrams, self.segments)
-        found = np.zeros(len(ngrams), dtype=np.int64)
-        alive = np.arange(len(ngrams))
+        return self.probed(*located(ngrams, self.segments))
+
+    def probed(self, segment: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(keys), dtype=np.int64)
+        alive = np.arange(len(keys))
         for level in range(1, MAX_LEVEL + 1):
             for probe in range(PROBES):
                 at = self.places(segment[alive], keys[alive], level, probe)
@@ -281,10 +287,6 @@ class CountFilter:
             found[alive] = level
         return found
 
-    def counts(self, ngrams: np.ndarray) -> np.ndarray:
-        distinct, back = np.unique(ngrams, return_inverse=True)
-        return LEVEL_COUNT[self.levels(distinct)][back]
-
 
 def filled(bits: int, keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """A segment with each key put in for every level up to its own."""
@@ -305,122 +307,85 @@ def located(ngrams: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys in 5 bytes each, those seen once first, then the others with their counts."""
-    often = counts > 1
-    parts = [np.concatenate([keys[~often], keys[often]]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()]
-    return b"".join([np.array([(~often).sum(), often.sum()], dtype="<u4").tobytes(), *parts, counts[often].astype("<u4").tobytes()])
-
+def _numbers(values: np.ndarray, width: int) -> bytes:
+    return pa.compress(_planes(values.astype("<u8"), width), codec="zstd", asbytes=True)
 
-def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    once, often = np.frombuffer(data, dtype="<u4", count=2).tolist()
-    n = once + often
-    wide = np.zeros((n, 8), dtype=np.uint8)
-    wide[:, :5] = np.frombuffer(data, dtype=np.uint8, count=5 * n, offset=8).reshape(n, 5)
-    counts = np.ones(n, dtype=np.int64)
-    counts[once:] = np.frombuffer(data, dtype="<u4", count=often, offset=8 + 5 * n)
-    return wide.reshape(-1).view("<u8"), counts
 
+def _numbers_from(data: bytes, n: int, width: int) -> np.ndarray:
+    n = int(n)
+    return _from_planes(pa.decompress(data, decompressed_size=width * n, codec="zstd", asbytes=True), n, width, "<i8")
 
-def ngram_counts(docs: DataFrame, segments: int) -> DataFrame:
-    """(segment, data): n-gram counts of training documents, one packed row per segment and block."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
+def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted keys as differences, with their counts."""
+    steps = np.diff(keys.astype("<u8"), prepend=np.uint64(0))
+    return np.array([len(keys)], dtype="<u4").tobytes() + _numbers(np.concatenate([steps, counts.astype("<u8")]), 8)
 
-        def flush() -> pa.RecordBatch:
-            ngrams, counts = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            segment, keys = located(ngrams, segments)
-            order = np.argsort(segment, kind="stable")
-            segment, keys, counts = segment[order], keys[order], counts[order]
-            begins = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
-            ends = np.append(begins[1:], len(segment))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(segment[begins].astype(np.int32)),
-                    pa.array([_packed(keys[a:b], counts[a:b]) for a, b in zip(begins, ends)], pa.binary()),
-                ],
-                names=["segment", "data"],
-            )
 
-        for batch in batches:
-            for _, texts in text_chunks(batch, CHUNK_CHARS):
-                tokens, counts = _with_ends(*word_hashes(texts))
-                held += [bigrams(tokens, counts), unigrams(tokens), unigrams(np.full(len(texts), START))]
-                size += 2 * len(tokens)
-                if size > 4_000_000:
-                    yield flush()
-                    size = 0
-        if held:
-            yield flush()
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(data, dtype="<u4", count=1)[0])
+    both = _numbers_from(memoryview(data)[4:], 2 * n, 8)
+    return np.cumsum(both[:n].view("<u8"), dtype=np.uint64), both[n:]
 
-    return docs.where("train = 1").select("text").mapInArrow(run, "segment int, data binary")
 
+def segment_rows(blocks: DataFrame, segments: int) -> DataFrame:
+    """For each block and segment the block's distinct tokens and n-grams, in training documents or not, with training counts."""
 
-def build_filter(docs: DataFrame, n_tokens: int, limit: int = FILTER_BYTES) -> CountFilter:
-    """The filter of all n-grams of the training documents; at most ``limit`` bytes reach the driver."""
-    segments = shuffle_partitions(docs.sparkSession) * SEGMENTS_PER_PARTITION
-    # Bytes by need, but within the bound; a whole number of bytes per segment.
-    bits = 8 * max(64, min(limit, n_tokens * BITS // 8) // segments)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, n, data in zip(*(batch.column(c) for c in ("block", "n", "data"))):
+                block = Block.read(n.as_py(), data.as_py(), segments)
+                tokens, ngrams = block.training_counts()
+                order, own = block.token_order(segments)
+                keys = block.codes & np.uint64((1 << KEY_BITS) - 1)
+                for kind, segment, keys, counts in (
+                    (TOKENS, own, block.distinct[order], tokens[order]),
+                    (NGRAMS, (block.codes >> np.uint64(KEY_BITS)).astype(np.int64), keys, ngrams),
+                ):
+                    begins = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
+                    ends = np.append(begins[1:], len(segment))
+                    packed = [_packed(keys[a:b], counts[a:b]) for a, b in zip(begins, ends)]
+                    m = len(begins)
+                    yield _batch(np.full(m, kind), np.full(m, number.as_py()), segment[begins], ends - begins, packed)
+
+    return blocks.mapInArrow(run, ROWS)
+
+
+def segment_levels(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The levels that a segment's filter, built from all counts of its distinct n-grams, gives for them."""
+    levels = levels_of(counts)
+    bits = 8 * max(64, int(levels.sum()) * BITS // 8 + 1)
+    held = CountFilter(bits, 1, filled(bits, keys, levels))
+    return held.probed(np.zeros(len(keys), dtype=np.int64), keys)
+
+
+def segment_answers(rows: DataFrame) -> DataFrame:
+    """For each row of a block and segment the counts of its tokens or the levels of its n-grams, in the row's order."""
 
     def merge(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        found = [_unpacked(d) for d in parts["data"]]
-        keys, counts = (np.concatenate([f[i] for f in found]) for i in range(2))
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        keys, levels = keys[begins], levels_of(np.add.reduceat(counts, begins))
-        least = 1
-        while levels[levels >= least].sum() * LEAST_BITS > bits and least < MAX_LEVEL:
-            least += 1
-        kept = levels >= least
-        return pd.DataFrame({"segment": [int(key[0])], "data": [filled(bits, keys[kept], levels[kept]).tobytes()]})
-
-    merged = ngram_counts(docs, segments).groupBy("segment").applyInPandas(merge, "segment int, data binary")
-    data = np.zeros(segments * bits // 8, dtype=np.uint8)
-    for row in merged.collect():
-        at = row["segment"] * bits // 8
-        data[at : at + bits // 8] = np.frombuffer(row["data"], dtype=np.uint8)
-    return CountFilter(bits, segments, data)
-
-
-@dataclass
-class LanguageModel:
-    filter: CountFilter
-    n_tokens: int
-    n_distinct: int
-
-    def scores(self, texts: list[str]) -> np.ndarray:
-        """log10 probability of each text with its end."""
-        tokens, counts = _with_ends(*word_hashes(texts))
-        left = _before(tokens, counts)
-        own, before = self.filter.counts(unigrams(tokens)), self.filter.counts(unigrams(left))
-        both = np.minimum(self.filter.counts(bigrams(tokens, counts)), before)
-        alone = (own + 0.5) / (self.n_tokens + 0.5 * (self.n_distinct + 1))
-        logs = np.log10(np.minimum(1.0, (both + MU * np.minimum(alone, 1.0)) / (before + MU)))
-        return np.add.reduceat(logs, np.cumsum(counts) - counts)
-
-
-def model_scores(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """(doc_id, text_key, score) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def make():
-        learned = shared.value
-
-        def step(batch: pa.RecordBatch):
-            for first, texts in text_chunks(batch, CHUNK_CHARS):
-                yield {
-                    "doc_id": batch.column("doc_id").slice(first, len(texts)),
-                    "text_key": batch.column("text_key").slice(first, len(texts)),
-                    "score": learned.scores(texts),
-                }
-
-        return step
-
-    return map_batches(docs.select("doc_id", "text_key", "text"), make, "doc_id long, text_key long, score double")
+        answers = {"kind": [], "block": [], "n": [], "data": []}
+        known = learned = 0
+        for kind, width in ((TOKENS, 8), (NGRAMS, 1)):
+            own = parts[parts["kind"] == kind]
+            if not len(own):
+                continue
+            found = [_unpacked(d) for d in own["data"]]
+            keys, back = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+            # Sums of whole numbers, exact below 2^53.
+            counts = np.bincount(back, weights=np.concatenate([f[1] for f in found])).astype(np.int64)
+            if kind == TOKENS:
+                known, learned = int((counts > 0).sum()), int(counts.sum())
+            values = (counts if kind == TOKENS else segment_levels(keys, counts))[back]
+            ends = np.cumsum(own["n"])
+            answers["kind"] += [kind] * len(own)
+            answers["block"] += own["block"].tolist()
+            answers["n"] += own["n"].tolist()
+            answers["data"] += [_numbers(values[e - n : e], width) for n, e in zip(own["n"], ends)]
+        for name, value in (("kind", VOCABULARY), ("block", learned), ("n", known), ("data", None)):
+            answers[name].append(value)
+        return pd.DataFrame({"kind": answers["kind"], "block": answers["block"], "segment": int(key[0]), "n": answers["n"], "data": answers["data"]})
+
+    return rows.groupBy("segment").applyInPandas(merge, ROWS)
 
 
 def score_documents(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame:
@@ -433,17 +398,17 @@ def score_documents(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)).alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce((fold(F.col("doc_id"), folds) != held).cast("int"), F.lit(0)).alias("train"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"),
     )
     blocks = saved(block_rows(rows), "token-blocks")
-    counts = saved(blocks.where(F.col("kind") == 0).groupBy("key").agg(F.sum("n").alias("c")), "token-counts")
-    totals = counts.where(F.col("c") > 0).agg(F.sum("c"), F.count("*")).first()
-    n_tokens, n_distinct = int(totals[0] or 0), int(totals[1])
-    base = base_scores(blocks, counts, n_tokens, n_distinct)
-    model = LanguageModel(build_filter(rows, n_tokens), n_tokens, n_distinct)
-    scored = model_scores(rows, model).dropDuplicates(["doc_id", "text_key"])
+    segments = shuffle_partitions(docs.sparkSession) * SEGMENTS_PER_PARTITION
+    answers = saved(segment_answers(segment_rows(blocks, segments)), "segment-answers")
+    totals = answers.where(F.col("kind") == VOCABULARY).agg(F.sum("n"), F.sum("block")).first()
+    n_distinct, n_tokens = int(totals[0] or 0), int(totals[1] or 0)
+    scored = block_scores(
+        blocks.unionByName(answers.where(F.col("kind") != VOCABULARY)), segments, n_tokens, n_distinct
+    )
     key = F.when(F.col("doc_id") != NULL_KEY, F.col("doc_id"))
-    return base.join(scored, ["doc_id", "text_key"]).select(
+    return scored.select(
         key.alias("doc_id"),
         F.coalesce(fold(key, folds) == held, F.lit(True)).alias("held_out"),
         "n_tokens",
