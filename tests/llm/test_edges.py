@@ -160,6 +160,27 @@ def test_near_copies_of_many_words(spark, monkeypatch, rows, chunk):
     assert sorted(kept) == sorted(set(group))
 
 
+def test_repeated_lines_do_not_part_near_copies(spark):
+    """A copy that repeats one line, and short texts with a word more, have nearly the same set of shingles."""
+    draw = np.random.default_rng(11)
+    texts = []
+    for g in range(40):
+        words = [f"w{int(x)}" for x in draw.integers(0, 10**6, 1000)]
+        texts += [" ".join(words), " ".join(words[:500] + words[484:500] * 50 + words[500:])]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCUMENTS)
+    assert ids(near_copies.keep_one_of_each(frame)) == list(range(0, 80, 2))
+
+
+def test_no_radius_for_texts_of_few_shingles():
+    """Sets of 4 and 5 shingles, one within the other, are at 0.8; their fingerprints may be far apart."""
+    draw = np.random.default_rng(12)
+    for _ in range(500):
+        large = draw.integers(0, 1 << 63, 5).astype(np.uint64)
+        sets = [np.sort(large), np.sort(large[:4])]
+        fps = simhash.majority(np.concatenate(sets), np.array([5, 4]))
+        assert near_copies.checked_links(fps, sets, np.zeros(2, dtype=np.int64), near_copies.RADIUS, 0.8) == [0, 0]
+
+
 def test_byte_bpe(odd, nothing):
     path = queries.tokenizer(queries.BYTE_BPE)
     rows = collected(bpe.digest_documents(odd, path))
