@@ -1,4 +1,3 @@
-import datetime as dt
 import json
 import sys
 from pathlib import Path
@@ -12,7 +11,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from tidemart.contracts import KAFKA_RECORD  # noqa: E402
 from tidemart.session import configure  # noqa: E402
 
-SF_TINY = "/root/testdata/sf0.001"
+from library_rows import ARRIVED  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -32,36 +31,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-ARRIVED = dt.datetime(2025, 3, 14, 8, 30, 7)
-
-
-def event(event_id="view-17", event_type="page_view", user_id="ada", order=None, **changes):
-    payload = {
-        "event_id": event_id,
-        "event_type": event_type,
-        "event_ts": "2025-03-14T08:30:00+00:00",
-        "user_id": user_id,
-        "session_id": "ada-morning",
-        "device": "tablet",
-        "product_id": "BOOK-0420",
-        "product_category": "books",
-        "order": order,
-    }
-    return payload | changes
-
-
-def order(order_id="basket-5", order_total=37.5, **changes):
-    filled = {
-        "order_id": order_id,
-        "quantity": 3,
-        "unit_price": 12.5,
-        "order_total": order_total,
-        "currency": "EUR",
-        "payment_method": "paypal",
-    }
-    return filled | changes
-
-
 @pytest.fixture
 def log(spark):
     """Log records from payloads: dicts are encoded, bytes and None kept."""

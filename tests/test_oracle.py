@@ -5,7 +5,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import SF_TINY
+from library_rows import SF_TINY
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 

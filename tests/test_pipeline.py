@@ -2,7 +2,7 @@ import ast
 import datetime as dt
 
 import pytest
-from conftest import SF_TINY
+from library_rows import SF_TINY
 from pyspark.errors import AnalysisException, SparkRuntimeException
 
 from tidemart import catalogue, jobs

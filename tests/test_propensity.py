@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import SF_TINY
+from library_rows import SF_TINY
 from pyspark.sql import functions as F
 
 from tidemart import catalogue

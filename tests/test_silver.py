@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import event, order
+from library_rows import event, order
 from pyspark.sql import functions as F
 
 from tidemart.operators.silver import clean_events, parse_events, reject_events, split_orders

@@ -2,7 +2,7 @@ import datetime as dt
 import re
 
 import pytest
-from conftest import event, order
+from library_rows import event, order
 from pyspark.sql import functions as F
 
 from tidemart.contracts import BRONZE, KAFKA_RECORD, RAW_DAILY_SALES
