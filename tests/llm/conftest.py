@@ -6,8 +6,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-SF = "/root/testdata/sf0.001"
-DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+from text_rows import DOCUMENTS, ODD_ROWS, SF  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -37,22 +36,6 @@ def results(spark):
     return of
 
 
-# Nulls in every column, empty and white texts, a very long one, ties and repeated rows.
-ODD_ROWS = [
-    (1, "One two three four five six", "en", "a", 27),
-    (2, "One two three four five six", "en", "a", 27),
-    (2, "One two three four five six", "en", "a", 27),
-    (None, "One two three four five seven", None, None, None),
-    (3, None, "en", "a", None),
-    (4, "", "de", None, 0),
-    (5, " \t\n", None, "b", 3),
-    (6, "12 34 !?", "fr", "b", 8),
-    (7, "éa é " * 30_000, "fr", "b", 150_000),
-    (8, "x" * 70_000, "de", "a", 70_000),
-    (9, "<|endoftext|> end <s>", "es", "c", 21),
-]
-
-
 @pytest.fixture
 def odd(spark):
     """The odd rows, with further columns whose names the operators use themselves."""

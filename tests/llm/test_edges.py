@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import DOCUMENTS, ODD_ROWS
+from text_rows import DOCUMENTS, ODD_ROWS
 from pyspark.sql import functions as F
 
 from tidemart.llm import (
@@ -352,7 +352,7 @@ def test_pipeline_stages_on_an_empty_table(spark, nothing, tmp_path):
 
 def test_pipeline_keeps_clean_documents(spark, given):
     """Each stage removes what it should and keeps the rest, in the order given."""
-    from conftest import SF
+    from text_rows import SF
 
     from tidemart.llm.stages import STAGES, run
     from tidemart.llm.common import saved

@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
-from conftest import SF
+from text_rows import SF
 
 from tidemart.llm import language, parsing, queries, sql, toxicity
 
