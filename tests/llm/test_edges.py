@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from text_rows import DOCUMENTS, ODD_ROWS
+from text_rows import DOCUMENTS, ODD_ROWS, SF, simhash_components
 from pyspark.sql import functions as F
 
 from tidemart.llm import (
@@ -14,7 +14,6 @@ from tidemart.llm import (
     language,
     lm,
     mixing,
-    near_copies,
     parsing,
     queries,
     simhash,
@@ -127,58 +126,38 @@ def test_crowded_keys_are_linked_through_neighbourhoods(spark, monkeypatch):
     assert sorted(map(sorted, mine.values())) == sorted(sorted(g) for g in theirs.values() if len(g) > 1)
 
 
-def test_near_copies(spark, odd, nothing):
-    kept = near_copies.keep_one_of_each(odd)
+def test_one_of_each_component_stays(odd, nothing):
+    kept = simhash.keep_one_of_each(odd)
     assert kept.columns == odd.columns
+    # The two texts of 5 same words differ in one shingle of four, beyond two bits.
     assert ids(kept) == [None, 1, 3, 6, 7, 8, 9]
-    assert near_copies.keep_one_of_each(nothing).count() == 0
-
-
-@pytest.mark.parametrize("rows, chunk", [(1024, 512), (12, 6)])
-def test_near_copies_of_many_words(spark, monkeypatch, rows, chunk):
-    """Groups at a similarity of 0.8 and more leave one row each; looser relatives stay."""
-    monkeypatch.setattr(near_copies, "BLOCK_ROWS", rows)
-    monkeypatch.setattr(near_copies, "CHUNK_ROWS", chunk)
-    monkeypatch.setattr(near_copies, "PIVOTS", 4)
-    draw = np.random.default_rng(2)
-    texts, group = [], []
-    for g in range(6):
-        original = [f"w{int(x)}" for x in draw.integers(0, 5000, 240)]
-        for _ in range(8):
-            copy = list(original)
-            for at in draw.choice(230, 4, replace=False):
-                copy[at] = f"z{int(draw.integers(0, 10**6))}"
-            texts.append(" ".join(copy))
-            group.append(g)
-        texts.append(" ".join(original))
-        group.append(g)
-        half = original[:120] + [f"q{int(x)}" for x in draw.integers(0, 10**6, 120)]
-        texts.append(" ".join(half))
-        group.append(100 + g)
-    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCUMENTS)
-    kept = [group[i] for i in ids(near_copies.keep_one_of_each(frame))]
-    assert sorted(kept) == sorted(set(group))
-
-
-def test_repeated_lines_do_not_part_near_copies(spark):
-    """A copy that repeats one line, and short texts with a word more, have nearly the same set of shingles."""
-    draw = np.random.default_rng(11)
-    texts = []
-    for g in range(40):
-        words = [f"w{int(x)}" for x in draw.integers(0, 10**6, 1000)]
-        texts += [" ".join(words), " ".join(words[:500] + words[484:500] * 50 + words[500:])]
-    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCUMENTS)
-    assert ids(near_copies.keep_one_of_each(frame)) == list(range(0, 80, 2))
-
-
-def test_no_radius_for_texts_of_few_shingles():
-    """Sets of 4 and 5 shingles, one within the other, are at 0.8; their fingerprints may be far apart."""
-    draw = np.random.default_rng(12)
-    for _ in range(500):
-        large = draw.integers(0, 1 << 63, 5).astype(np.uint64)
-        sets = [np.sort(large), np.sort(large[:4])]
-        fps = simhash.majority(np.concatenate(sets), np.array([5, 4]))
-        assert near_copies.checked_links(fps, sets, np.zeros(2, dtype=np.int64), near_copies.RADIUS, 0.8) == [0, 0]
+    assert simhash.keep_one_of_each(nothing).count() == 0
+
+
+def test_long_pre_tokens(spark):
+    """A megabyte without white space is encoded within seconds, and as the library does."""
+    import time
+
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer(queries.BYTE_BPE)
+    draw = np.random.default_rng(8)
+    texts = ["a" * 5_001, "ab" * 3_000, "".join(draw.choice(list("etaoinshr"), 9_000)), "é" * 4_000 + "1" * 4_000]
+    library, model = Tokenizer.from_file(path), bpe.load(path)
+    for text in texts:
+        assert model.encode(text) == library.encode(text, add_special_tokens=False).ids
+    started = time.monotonic()
+    ids_ = model.encode("".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 1 << 20)))
+    assert time.monotonic() - started < 60 and len(ids_) > 1 << 18
+
+
+def test_remembered_stretches_are_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 100_000)
+    memory = bpe.Memory()
+    for i in range(5_000):
+        memory.put(str(i), (str(i), b"x"))
+        memory.turn()
+    assert 0 < len(memory.now) + len(memory.before) < 2 * 100_000 / bpe.ENTRY_BYTES + 2
 
 
 def test_byte_bpe(odd, nothing):
@@ -352,8 +331,6 @@ def test_pipeline_stages_on_an_empty_table(spark, nothing, tmp_path):
 
 def test_pipeline_keeps_clean_documents(spark, given):
     """Each stage removes what it should and keeps the rest, in the order given."""
-    from text_rows import SF
-
     from tidemart.llm.stages import STAGES, run
     from tidemart.llm.common import saved
 
@@ -369,8 +346,7 @@ def test_pipeline_keeps_clean_documents(spark, given):
     after = set(ids(steps["toxicity"]))
     gone = set(ids(steps["language ID"])) - after
     assert sum(toxic.get(i) == 0 for i in gone) <= 0.1 * max(1, len(gone))
-    texts = [r.text for r in steps["simhash near-dedup"].collect()]
-    assert len(texts) == len(set(texts))
-    assert {r.text for r in steps["simhash near-dedup"].collect()} <= {r.text for r in steps["toxicity"].collect()}
+    component = simhash_components({r.doc_id: r.text for r in steps["toxicity"].collect()})
+    assert ids(steps["simhash near-dedup"]) == sorted(set(component.values()))
     final = run(spark, SF)
     assert final.count() == steps["mixing"].count() and final.where(F.col("n_tokens").isNull()).count() == 0

@@ -8,8 +8,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
-import xxhash
-from text_rows import SF
+from text_rows import SF, simhash_components, simhash_print, words
 
 from tidemart.llm import language, parsing, queries, sql, toxicity
 
@@ -18,10 +17,6 @@ def crc(key, folds):
     return zlib.crc32(str(key).encode()) % folds
 
 
-def words(text):
-    return (text or "").encode().lower().split()
-
-
 @pytest.mark.parametrize("name", list(sql.oracle_sql()))
 def test_query_equals_sql(results, name):
     connection = duckdb.connect()
@@ -58,28 +53,10 @@ def test_mix_is_near_its_targets(results, given):
 
 
 def test_simhash_components(results, given):
-    prints = {}
-    for d in given("documents"):
-        own = words(d["text"])
-        shingles = [b" ".join(own[i : i + 3]) for i in range(max(1, len(own) - 2))] if own else []
-        hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
-        prints[d["doc_id"]] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-    ids = sorted(prints)
-    root = {i: i for i in ids}
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for x, i in enumerate(ids):
-        for j in ids[x + 1 :]:
-            if (prints[i] ^ prints[j]).bit_count() <= 2:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
+    texts = {d["doc_id"]: d["text"] for d in given("documents")}
     rows = results("op3_simhash")
-    assert {r["doc_id"]: r["fingerprint"] for r in rows} == {i: f"{p:016x}" for i, p in prints.items()}
-    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: find(i) for i in ids}
+    assert {r["doc_id"]: r["fingerprint"] for r in rows} == {i: f"{simhash_print(t):016x}" for i, t in texts.items()}
+    assert {r["doc_id"]: r["component_id"] for r in rows} == simhash_components(texts)
 
 
 def test_byte_bpe(results, given):

@@ -7,12 +7,14 @@ the lowest rank. A merge changes the pair itself and its two neighbours, three
 leaves, each updated along its path to the root; the pre-token is done when the
 root is empty. Trees of equal depth are worked on together as arrays, one merge
 per tree and step, and each distinct stretch of text is encoded once per batch (and
-remembered per worker, within two generations of ``REMEMBERED`` entries).
+remembered for the task, within two generations of ``REMEMBERED_BYTES``). A long pre-token has a tree of
+its own; as no merge rule uses a piece before the rule that makes it, all places of the
+lowest rank are found by one descent from the root and merged in one step, left to right.
 
 Defined results: a NULL text is encoded as the empty one; no token, ids "" and
 text "" for it. Repeated rows are separate rows; an empty table gives an empty
-result; extra columns are ignored. Very long pre-tokens take
-``O(n log n)`` like all others.
+result; extra columns are ignored. A pre-token of n bytes takes ``O(n log n)`` for its merges and
+``O(log n)`` for each distinct rank among them; a megabyte without white space is a matter of seconds.
 """
 
 from __future__ import annotations
@@ -29,7 +31,10 @@ from pyspark.sql import DataFrame
 from tidemart.llm.common import map_batches, narrow, text_chunks
 
 CHUNK_CHARS = 1 << 22
-REMEMBERED = 300_000
+REMEMBERED_BYTES = 16 << 20
+# Size of the objects of a remembered stretch besides their characters.
+ENTRY_BYTES = 280
+LONG_DEPTH = 11
 NONE = np.int64(1 << 62)
 PLACE_BITS = 40
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies.
@@ -55,8 +60,12 @@ class Memory:
     """
 
     def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
         self.now: dict[str, tuple[str, bytes] | None] = {}
         self.before: dict[str, tuple[str, bytes] | None] = {}
+        self.size = 0
 
     def missing(self, stretches: list[str]) -> list[str]:
         new = set(stretches).difference(self.now)
@@ -64,12 +73,16 @@ class Memory:
             return []
         found = [s for s in new if s in self.before]
         for s in found:
-            self.now[s] = self.before[s]
+            self.put(s, self.before[s])
         return list(new.difference(found))
 
+    def put(self, stretch: str, entry: tuple[str, bytes] | None) -> None:
+        self.now[stretch] = entry
+        self.size += ENTRY_BYTES + len(stretch) + (len(entry[0]) + len(entry[1]) if entry else 0)
+
     def turn(self) -> None:
-        if len(self.now) > REMEMBERED:
-            self.now, self.before = {}, self.now
+        if self.size > REMEMBERED_BYTES:
+            self.now, self.before, self.size = {}, self.now, 0
 
 
 class ByteBpe:
@@ -96,6 +109,11 @@ class ByteBpe:
         self.merged = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
         self.size = size
         self._index(codes)
+        # The last rule that makes each id: whether all rules that use an id come later.
+        last = np.full(size, -1, dtype=np.int64)
+        last[self.merged] = np.arange(len(codes))
+        used = np.arange(len(codes))
+        self.in_order = bool(((last[codes // size] < used) & (last[codes % size] < used)).all())
         self.pattern = regex.compile(PATTERN)
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
@@ -145,6 +163,10 @@ class ByteBpe:
         for i, word in enumerate(words):
             depths.setdefault(max(1, (len(word) - 1).bit_length()), []).append(i)
         for depth, members in depths.items():
+            if depth > LONG_DEPTH:
+                for i in members:
+                    out[i] = self._merge_long(words[i], depth)
+                continue
             # Few enough leaves at a time for the arrays to stay in the processor's cache.
             step = max(1, (1 << 16) >> depth)
             for start in range(0, len(members), step):
@@ -212,6 +234,54 @@ class ByteBpe:
         ids = symbols[kept].tolist()
         return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
+    def _merge_long(self, word: bytes, depth: int) -> list[int]:
+        """Merge one word by its own tree, all places of the lowest rank in a step."""
+        n, leaves = len(word), 1 << depth
+        # The place after the last symbol, and the one before the first (index -1), hold no symbol.
+        symbols = np.full(n + 2, -1, dtype=np.int64)
+        symbols[:n] = self.first_ids[np.frombuffer(word, dtype=np.uint8)]
+        after = np.minimum(np.arange(1, n + 3), n)
+        before = np.arange(-1, n + 1)
+        tree = np.full(2 * leaves, NONE, dtype=np.int64)
+        tree[leaves : leaves + n] = self.keys(symbols[:n], symbols[1 : n + 1], np.arange(n))
+        for level in range(depth - 1, -1, -1):
+            low = 1 << level
+            tree[low : 2 * low] = np.minimum(tree[2 * low : 4 * low : 2], tree[2 * low + 1 : 4 * low : 2])
+        while tree[1] != NONE:
+            rank = tree[1] >> PLACE_BITS
+            if self.in_order:
+                at = np.ones(1, dtype=np.int64)
+                for _ in range(depth):
+                    at = np.repeat(2 * at, 2)
+                    at[1::2] += 1
+                    at = at[tree[at] >> PLACE_BITS == rank]
+                at -= leaves
+                # Of overlapping places (runs of one symbol) every second one, from the left.
+                begins = np.concatenate([[True], after[at[:-1]] != at[1:]])
+                number = np.arange(len(at))
+                at = at[(number - np.maximum.accumulate(np.where(begins, number, 0))) % 2 == 0]
+            else:
+                at = np.array([tree[1] & ((1 << PLACE_BITS) - 1)])
+            gone = after[at]
+            follows = after[gone]
+            symbols[at], symbols[gone] = self.merged[rank], -1
+            after[at], before[follows] = follows, at
+            left = before[at]
+            left = left[left >= 0]
+            changed = np.concatenate([at, left])
+            tree[gone + leaves] = NONE
+            tree[changed + leaves] = self.keys(symbols[changed], symbols[after[changed]], changed)
+            node = np.unique(np.concatenate([gone, changed])) + leaves
+            for _ in range(depth):
+                node = node >> 1
+                node = node[np.concatenate([[True], node[1:] != node[:-1]])]
+                tree[node] = np.minimum(tree[2 * node], tree[2 * node + 1])
+        return symbols[symbols >= 0].tolist()
+
+    def forget(self) -> None:
+        self.bare.clear()
+        self.spaced.clear()
+
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens and special tokens of a text, in order."""
         if self.cut is None or not any(s in text for s in self.special):
@@ -266,9 +336,9 @@ class ByteBpe:
             if memory is self.bare and stretch in self.special:
                 ids = [self.special[stretch]]
             if memory is self.spaced and (not stretch or stretch[0].isspace() or stretch[-1].isspace()):
-                memory.now[stretch] = None
+                memory.put(stretch, None)
             else:
-                memory.now[stretch] = (",".join([number[i] for i in ids]), b"".join([bytes_of[i] for i in ids]))
+                memory.put(stretch, (",".join([number[i] for i in ids]), b"".join([bytes_of[i] for i in ids])))
 
     def ids_text(self, text: str) -> str:
         """Decimal ids joined by commas."""
@@ -288,7 +358,7 @@ class ByteBpe:
         return self.decode_bytes(ids).decode("utf-8", errors="replace")
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def load(path: str) -> ByteBpe:
     return ByteBpe(path)
 
@@ -353,6 +423,7 @@ def _per_text(docs: DataFrame, path: str, columns: str, result) -> DataFrame:
                 bpe.bare.turn()
                 bpe.spaced.turn()
 
+        step.done = bpe.forget
         return step
 
     key = rows.schema["doc_id"].dataType.simpleString()

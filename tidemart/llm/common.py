@@ -36,24 +36,27 @@ def map_batches(
 
     ``make()`` runs once per task and returns a function from a record batch to
     any number of column dictionaries (Arrow arrays or lists), one per output
-    batch.
+    batch. Workers outlive tasks: ``done()``, if the function has it, drops what it remembered.
     """
     spark_schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     target = to_arrow_schema(spark_schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
-            for columns in step(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        columns[f.name].cast(f.type)
-                        if isinstance(columns[f.name], pa.Array)
-                        else pa.array(columns[f.name], type=f.type)
-                        for f in target
-                    ],
-                    schema=target,
-                )
+        try:
+            for batch in batches:
+                for columns in step(batch):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            columns[f.name].cast(f.type)
+                            if isinstance(columns[f.name], pa.Array)
+                            else pa.array(columns[f.name], type=f.type)
+                            for f in target
+                        ],
+                        schema=target,
+                    )
+        finally:
+            getattr(step, "done", lambda: None)()
 
     return frame.mapInArrow(run, spark_schema)
 

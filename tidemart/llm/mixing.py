@@ -94,70 +94,73 @@ def mix_copies(
         F.col(f"`{source_column}`").alias("source"),
         n_words(F.col(f"`{text_column}`")).alias("size"),
     )
-    targets = source_targets(sized, cap, weights)
-    laid = sized.withColumns(
-        {
-            "size_class": size_class(F.col("size")),
-            "lane": F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 2),
-        }
+    return _sampled(sized, cap, weights, seed).select("doc_id", "source", "size", "source_size", "target", "copies")
+
+
+def _sampled(sized: DataFrame, cap: int, weights: tuple[int, ...], seed: int) -> DataFrame:
+    """Rows with (doc_id, source, size) and any other columns, with ``source_size``, ``target`` and ``copies``.
+
+    Counts and bases come from the three columns alone; the rows themselves are shuffled once, to their lane.
+    """
+    named = {
+        "size_class": size_class(F.col("size")),
+        "lane": F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 2),
+        # A NULL source as a key of its own, so that joins and windows share one partitioning.
+        "source_name": F.coalesce("source", F.lit("")),
+        "source_known": F.col("source").isNotNull(),
+    }
+    laid = sized.withColumns(named)
+    of_source = ["source_name", "source_known"]
+    of_class = [*of_source, "size_class"]
+    place = [*of_class, "lane"]
+    targets = source_targets(sized.select("source", "size"), cap, weights).select(
+        F.coalesce("source", F.lit("")).alias("source_name"),
+        F.col("source").isNotNull().alias("source_known"),
+        "source_size",
+        "target",
     )
-    place = ["source", "size_class", "lane"]
-    by_class = Window.partitionBy("source").orderBy("size_class")
-    by_lane = Window.partitionBy("source", "size_class").orderBy("lane")
+    by_class = Window.partitionBy(*of_source).orderBy("size_class")
+    by_lane = Window.partitionBy(*of_class).orderBy("lane")
     before = (Window.unboundedPreceding, -1)
     lanes = laid.groupBy(*place).agg(F.count("*").alias("rows"))
     classes = (
-        lanes.groupBy("source", "size_class")
+        lanes.groupBy(*of_class)
         .agg(F.sum("rows").alias("rows"))
-        .select("source", "size_class", F.coalesce(F.sum("rows").over(by_class.rowsBetween(*before)), F.lit(0)).alias("class_base"))
-    )
-    lane_bases = lanes.select(
-        *place, F.coalesce(F.sum("rows").over(by_lane.rowsBetween(*before)), F.lit(0)).alias("lane_base")
+        .select(*of_class, F.coalesce(F.sum("rows").over(by_class.rowsBetween(*before)), F.lit(0)).alias("class_base"))
     )
-    bases = _null_safe_join(lane_bases, classes, ["source", "size_class"])
-    bases = _null_safe_join(bases, targets, ["source"]).select(
-        *place, "source_size", "target", (F.col("class_base") + F.col("lane_base")).alias("base")
+    bases = (
+        lanes.select(*place, F.coalesce(F.sum("rows").over(by_lane.rowsBetween(*before)), F.lit(0)).alias("lane_base"))
+        .join(classes, of_class)
+        .join(targets, of_source)
+        .select(*place, "source_size", "target", (F.col("class_base") + F.col("lane_base")).alias("base"))
     )
     within = Window.partitionBy(*place).orderBy("size", "doc_id")
     numbered = laid.withColumn("position", F.row_number().over(within))
-    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("source"), F.lit(""))).cast("binary"))
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col("source_name")).cast("binary"))
     offset = F.conv(F.substring(digest, 1, 5), 16, 10).cast("double") / F.lit(float(OFFSET_STEPS))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     last = (F.col("base") + F.col("position")).cast("double")
     # The document's expected copies end at rate * last and begin at rate * (last - 1).
     crossed = F.floor(offset + rate * last) - F.floor(offset + rate * (last - 1))
-    return _null_safe_join(numbered, bases, place).select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        F.least(crossed, F.ceil(rate)).cast("int").alias("copies"),
-    )
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join that matches NULL keys; the key columns of ``left`` are kept."""
-    renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
-    match = [left[k].eqNullSafe(renamed[f"__{k}"]) for k in keys]
-    return left.join(renamed, match).drop(*[f"__{k}" for k in keys])
+    copies = F.least(crossed, F.ceil(rate)).cast("int")
+    return numbered.join(bases, place).withColumn("copies", copies).drop(*named, "position", "base")
 
 
-def mix_documents(docs: DataFrame, **options) -> DataFrame:
+def mix_documents(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    cap: int = CAP,
+    weights: tuple[int, ...] = WEIGHTS,
+    seed: int = 7,
+) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as its copies say, same columns."""
-    key = {k: options[k] for k in ("id_column", "text_column", "source_column") if k in options}
-    source, text = key.get("source_column", "source"), key.get("text_column", "text")
-    doc_id = key.get("id_column", "doc_id")
-    copies = mix_copies(docs, **options)
-    # Rows of equal key, source and size are alike for the sampler: number them
-    # on both sides so that repeated rows get their own decisions.
-    same = Window.partitionBy("__id", "__source", "__size").orderBy("__id")
-    decided = copies.select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "copies"
-    ).withColumn("__nth", F.row_number().over(same)).withColumnRenamed("copies", "__copies")
-    rows = docs.withColumns(
-        {"__id": F.col(f"`{doc_id}`"), "__source": F.col(f"`{source}`"), "__size": n_words(F.col(f"`{text}`"))}
-    ).withColumn("__nth", F.row_number().over(same))
-    joined = _null_safe_join(rows, decided, ["__id", "__source", "__size", "__nth"])
-    repeated = joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    sized = docs.select(
+        F.col(f"`{id_column}`").alias("doc_id"),
+        F.col(f"`{source_column}`").alias("source"),
+        n_words(F.col(f"`{text_column}`")).alias("size"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    )
+    taken = _sampled(sized, cap, weights, seed).where(F.col("copies") > 0)
+    return taken.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select("row.*")

@@ -34,7 +34,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import map_batches, narrow, saved, text_chunks
@@ -81,21 +81,28 @@ def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp) of every whole text, the fingerprint as a signed 64-bit integer."""
-    rows = narrow(docs)
+def fingerprints(docs: DataFrame, words: int = WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, text_hash, fp) of every whole text, the fingerprint as a signed 64-bit integer."""
+    rows = narrow(docs, id_column, text_column)
+    rows = rows.withColumn("text_hash", text_hash(F.col("text")))
 
     def make():
         def step(batch: pa.RecordBatch):
             for first, texts in text_chunks(batch, CHUNK_CHARS):
                 hashes = [shingle_hashes(t, words) for t in texts]
                 fps = majority(np.concatenate(hashes), np.array([len(h) for h in hashes]))
-                yield {"doc_id": batch.column("doc_id").slice(first, len(texts)), "fp": fps.view(np.int64)}
+                same = {c: batch.column(c).slice(first, len(texts)) for c in ("doc_id", "text_hash")}
+                yield {**same, "fp": fps.view(np.int64)}
 
         return step
 
     key = rows.schema["doc_id"].dataType.simpleString()
-    return map_batches(rows, make, f"doc_id {key}, fp long")
+    return map_batches(rows, make, f"doc_id {key}, text_hash long, fp long")
+
+
+def text_hash(text: Column) -> Column:
+    """Tells the texts of repeated keys apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 # --- bit-sliced comparison
@@ -301,12 +308,51 @@ def near_links(fps: DataFrame, radius: int = RADIUS, parts: int = PARTS) -> Data
     return linked_blocks(placed, radius).union(neighbourhood_links(hot, radius))
 
 
+def linked_classes(rows: DataFrame, radius: int, parts: int) -> DataFrame:
+    """(fp, component) for each distinct fp of ``rows`` that has a link; the component is its smallest fp."""
+    links = near_links(rows.select("fp").distinct(), radius, parts)
+    return components(links).withColumnRenamed("node", "fp")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, parts: int = PARTS) -> DataFrame:
     """(doc_id, fp, component_id): the smallest doc_id reachable over links within the radius."""
     rows = saved(fingerprints(docs, words), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = components(near_links(rows.select("fp").distinct(), radius, parts)).withColumnRenamed("node", "fp")
+    linked = linked_classes(rows, radius, parts)
     placed = classes.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     names = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     named = placed.join(names, "component").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one_of_each(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    words: int = WORDS,
+    radius: int = RADIUS,
+    parts: int = PARTS,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: of each component the one of the smallest key, NULL last.
+
+    Who stays is settled on narrow rows; texts move once, to meet the decisions. Of repeated
+    rows (equal key and text) one stays.
+    """
+    rows = saved(fingerprints(docs, words, id_column, text_column), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")
+    first = rows.groupBy("fp").agg(F.min(order).alias("first"))
+    kept = (
+        first.join(linked_classes(rows, radius, parts), "fp", "left")
+        .groupBy(F.coalesce("component", "fp"))
+        .agg(F.min("first").alias("first"))
+        .select(_row_key(F.col("first.doc_id")).alias("__key"), F.col("first.text_hash").alias("__hash"))
+    )
+    place = ["__hash", "__key"]
+    marked = docs.withColumns({"__hash": text_hash(F.col(f"`{text_column}`")), "__key": _row_key(F.col(f"`{id_column}`"))})
+    same = Window.partitionBy(*place).orderBy("__hash")
+    stays = marked.join(kept, place, "left_semi").withColumn("__nth", F.row_number().over(same))
+    return stays.where(F.col("__nth") == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _row_key(key: Column) -> Column:
+    return F.coalesce(key.cast("string"), F.lit("NULL"))

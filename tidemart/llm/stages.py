@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import bpe, language, mixing, near_copies, toxicity
+from tidemart.llm import bpe, language, mixing, simhash, toxicity
 from tidemart.llm.common import saved
 from tidemart.llm.queries import BYTE_BPE, table, tokenizer
 from tidemart.session import configure
@@ -28,9 +28,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies stays."""
+    """One document of each group whose fingerprints are linked stays."""
     configure(spark)
-    return near_copies.keep_one_of_each(docs)
+    return simhash.keep_one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
