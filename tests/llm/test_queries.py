@@ -20,7 +20,7 @@ def crc(key, folds):
 @pytest.mark.parametrize("name", list(sql.oracle_sql()))
 def test_query_equals_sql(results, name):
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     expected = connection.sql(sql.oracle_sql()[name])
     columns = sorted(expected.columns)

@@ -8,7 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, language, lm, mixing, parsing, simhash, token_counts, token_files, topk, toxicity
+from tidemart.llm import (
+    bpe,
+    language,
+    lm,
+    mixing,
+    parsing,
+    simhash,
+    token_counts,
+    token_files,
+    topk,
+    toxicity,
+    trie,
+)
 from tidemart.llm.common import fold
 from tidemart.session import configure
 
@@ -110,3 +122,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select(
         "doc_id", held, "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "passages"
     )
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))

@@ -56,7 +56,58 @@ ranked AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-STATEMENTS = {"op2_mix_sources": OP2, "op9_top_k": OP9}
+OP13 = """
+WITH turns AS (
+  SELECT conv_id, md5(coalesce(role, '')) || md5(coalesce(text, '')) AS label, length(coalesce(text, '')) AS n_chars,
+         row_number() OVER (PARTITION BY conv_id
+                            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS position
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, count(*) AS turns, conv_id - conv_id % 100 AS base,
+         -- crc32 of the decimal key, bit by bit
+         xor(list_reduce(list_concat([4294967295::BIGINT],
+               [ascii(c)::BIGINT FOR c IN string_split(CAST(conv_id AS VARCHAR), '')]),
+               lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+                                          lambda x, bit: xor(x >> 1, 3988292384::BIGINT * (x & 1)))),
+             4294967295::BIGINT) % 6 AS head
+  FROM turns GROUP BY conv_id),
+info AS (
+  SELECT c.conv_id, c.base, c.head, least(c.head, coalesce(b.turns, 0)) AS taken
+  FROM convs c LEFT JOIN convs b ON b.conv_id = c.base),
+rebuilt AS (
+  SELECT conv_id, position - head + taken AS depth, label, n_chars
+  FROM turns JOIN info USING (conv_id) WHERE position > head
+  UNION ALL
+  SELECT i.conv_id, t.position, t.label, t.n_chars
+  FROM info i JOIN turns t ON t.conv_id = i.base AND t.position <= i.taken),
+prefixes AS (
+  SELECT conv_id, depth, n_chars,
+         md5(string_agg(label, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS key
+  FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+nodes AS (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, min(n_chars) AS n_chars FROM prefixes GROUP BY depth, key),
+linked AS (
+  SELECT n.*, p.key AS parent
+  FROM nodes n LEFT JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+families AS (
+  SELECT l.*, m.conv_id AS parent_conv_id, coalesce(c.n_children, 0) AS n_children
+  FROM linked l LEFT JOIN nodes m ON m.depth = l.depth - 1 AND m.key = l.parent
+  LEFT JOIN (SELECT depth - 1 AS depth, parent, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY 1, 2) c
+    ON c.depth = l.depth AND c.parent = l.key),
+subtrees AS (
+  SELECT p.depth, p.key, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((f.n_convs - 1) * f.n_chars) AS saved
+  FROM families f JOIN prefixes p ON p.conv_id = f.conv_id AND p.depth <= f.depth GROUP BY p.depth, p.key),
+ends AS (
+  SELECT depth, key, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, max(depth) AS depth, arg_max(key, depth) AS key FROM prefixes GROUP BY conv_id) GROUP BY depth, key)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, f.parent_conv_id, CAST(f.n_convs AS BIGINT) AS n_convs,
+       CAST(f.n_children AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM families f JOIN subtrees s USING (depth, key) LEFT JOIN ends e USING (depth, key)
+"""
+
+STATEMENTS = {"op2_mix_sources": OP2, "op9_top_k": OP9, "op13_conversation_trie": OP13}
 
 
 def oracle_sql() -> dict[str, str]:
