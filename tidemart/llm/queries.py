@@ -12,6 +12,7 @@ from tidemart.llm import (
     bpe,
     language,
     lm,
+    lsh_forest,
     mixing,
     parsing,
     simhash,
@@ -124,6 +125,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.conversation_trie(table(spark, sf_dir, "conversations"))

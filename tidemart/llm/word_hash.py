@@ -12,7 +12,8 @@ _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _VALUES = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) ^ (
     np.arange(1, 257, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(29)
 )
-_powers = np.ones(1, dtype=np.uint64)
+# Longer words are hashed in pieces, so that the table of powers stays small.
+PIECE = 1 << 12
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -21,11 +22,7 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-def _powers_to(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        _powers = np.cumprod(np.append(np.uint64(1), np.full(2 * n, _STEP, dtype=np.uint64)), dtype=np.uint64)
-    return _powers
+_POWERS = np.cumprod(np.append(np.uint64(1), np.full(PIECE - 1, _STEP, dtype=np.uint64)), dtype=np.uint64)
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -43,5 +40,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     letters = data[~white]
     first = np.cumsum(sizes) - sizes
     offset = np.arange(len(letters)) - np.repeat(first, sizes)
-    terms = _VALUES.take(letters) * _powers_to(int(sizes.max()) + 1).take(offset)
+    terms = _VALUES.take(letters) * _POWERS.take(offset % PIECE)
+    if sizes.max() > PIECE:
+        terms *= mix((offset // PIECE).astype(np.uint64)) | np.uint64(1)
     return mix(np.add.reduceat(terms, first) + sizes.astype(np.uint64) * MULTIPLIER), counts
