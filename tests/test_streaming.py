@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemart.contracts import BRONZE, KAFKA_RECORD, RAW_DAILY_SALES
 from tidemart.sources.kafka import file_stream, kafka_options
 from tidemart.streaming import bronze, ingest, silver
+from tidemart.streaming.key_index import KeyIndex, probed
 from tidemart.streaming.routing import route_events
 from tidemart.streaming.triggers import every
 
@@ -122,6 +123,64 @@ def test_same_day_lookup_reads_only_the_days_of_the_batch(spark, lake, log):
     assert days == {dt.date(2025, 3, 14)}
 
 
+def insert(log, table, payloads, batch, stream="s1"):
+    clean = silver.clean_events(silver.parse_events(log(payloads))).persist()
+    silver.insert_new(clean, table, stream, batch)
+    clean.unpersist()
+
+
+def batch_of(log, *names, **changes):
+    return silver.clean_events(silver.parse_events(log([event(n, **changes) for n in names])))
+
+
+def test_a_batch_reads_only_the_key_files_that_may_hold_its_keys(spark, lake, log):
+    table = lake.events
+    for number in range(4):
+        insert(log, table, [event(f"b{number}-{i}") for i in range(60)], number)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        keys = table.index.keys(spark).count()
+        # Copies of two keys, on another day, among new keys.
+        later = {"event_ts": "2026-08-01T00:00:00Z"}
+        batch = batch_of(log, "b0-3", "b2-7", *[f"new-{i}" for i in range(40)], **later).persist()
+        stored = silver.candidates(batch, table, "s2", 0)
+        assert {"b0-3", "b2-7"} <= {r.event_id for r in stored.collect()}
+        assert keys == 240 and stored.count() < keys / 3
+        fresh = silver.unseen(batch, stored, "event_id")
+        assert sorted(r.event_id for r in fresh.collect()) == sorted(f"new-{i}" for i in range(40))
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    # Of the stored keys only hit folders are scanned, and no exchange stands over them.
+    scan = plan[plan.index("FileScan parquet") :]
+    assert "PartitionFilters: [concat_ws" in scan
+    assert "SortMergeJoin" not in plan and not re.search(r"Exchange hashpartitioning.*\n.*FileScan", plan)
+    new = silver.candidates(batch_of(log, *[f"none-{i}" for i in range(5)]), table, "s2", 0)
+    assert new.count() < keys / 10
+
+
+def test_batches_missing_from_the_index_are_found(spark, lake, log):
+    """A crash after the rows were written and before their keys; then the stream starts anew."""
+    insert(log, lake.events, [event("e1"), event("e2")], 0)
+    rows = lake.events.stored(spark).withColumn("batch_id", F.lit(1).cast("bigint")).withColumn("event_id", F.concat("event_id", F.lit("-b")))
+    rows.write.mode("append").partitionBy("stream_id", "batch_id", "event_date").parquet(lake.events.path)
+    insert(log, lake.events, [event("e1"), event("e1-b"), event("e3")], 0, "s2")
+    assert sorted(r.event_id for r in lake.events.read(spark).collect()) == ["e1", "e1-b", "e2", "e2-b", "e3"]
+
+
+def test_filters_hold_every_key(spark, tmp_path):
+    index = KeyIndex(str(tmp_path / "index"), "event_id", 7)
+    keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("event_id"), F.lit("s/1 x").alias("stream_id"), (F.col("id") % 3).alias("batch_id"))
+    index.add(keys)
+    asked = spark.range(6000).select(F.concat(F.lit("k"), "id").alias("event_id"))
+    met = probed(index.filters(spark), asked, "event_id", index.bucket())
+    hits = {(r.event_id, r.batch_id) for r in met.collect()}
+    assert {(f"k{i}", i % 3) for i in range(3000)} <= hits
+    assert len(hits) - 3000 < 0.03 * 6000 * 3
+    index.complete(keys.where("false"))
+    assert index.possible(asked, F.lit(True)).count() == 0
+
+
 def test_a_replayed_batch_rewrites_only_itself(spark, lake, log):
     def insert(payloads, batch, stream="s1"):
         clean = silver.clean_events(silver.parse_events(log(payloads))).persist()

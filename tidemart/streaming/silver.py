@@ -22,11 +22,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemart.contracts import SILVER_EVENTS, SILVER_ORDERS
 from tidemart.operators.silver import clean_events, parse_events, reject_events, split_orders
 from tidemart.sources.tables import read_table_or_empty
+from tidemart.streaming.key_index import LINEAGE, LINEAGE_SCHEMA, KeyIndex
 from tidemart.streaming.triggers import DRAIN
 
-LINEAGE = ["stream_id", "batch_id"]
-LINEAGE_SCHEMA = "stream_id STRING, batch_id BIGINT"
-
 # The stream that merged batches are kept under.
 COMPACTED = "compacted"
 
@@ -39,16 +37,22 @@ BROADCAST_KEY_BYTES = 16 * 1024 * 1024
 class KeyedTable:
     """A table unique by ``key``.
 
+    A batch is checked through the table's key index (see ``key_index``), which
+    reads the stored keys of those files only that may hold one of its keys, on whatever day.
     ``same_day_copies`` states that copies of a key always carry the same
-    ``event_date``, as they do when a producer resends a record unchanged. A
-    batch is then only checked against the partitions from its first day to its
-    last. Without that promise every stored key is looked at.
+    ``event_date``, as they do when a producer resends a record unchanged; then no index
+    is kept and a batch is checked against the partitions from its first day to its last.
     """
 
     path: str
     key: str
     schema: str
     same_day_copies: bool = False
+    key_buckets: int = 32
+
+    @property
+    def index(self) -> KeyIndex:
+        return KeyIndex(f"{self.path}_keys", self.key, self.key_buckets)
 
     def stored(self, spark: SparkSession) -> DataFrame:
         """All rows with their lineage columns; empty before the first write."""
@@ -87,28 +91,32 @@ def unseen(
 
 
 def candidates(batch: DataFrame, table: KeyedTable, stream_id: str, batch_id: int) -> DataFrame:
-    """The stored rows a batch is checked against, cut to whole partitions."""
-    stored = table.stored(batch.sparkSession)
+    """The stored rows, by key, that a batch is checked against, cut to whole files."""
     replaced = (F.col("stream_id") == stream_id) & (F.col("batch_id") >= batch_id)
-    others = stored.filter(~replaced)
-    if table.same_day_copies:
-        first, last = batch.agg(F.min("event_date"), F.max("event_date")).first()
-        others = others.filter(F.col("event_date").between(F.lit(first), F.lit(last)))
-    return others
+    if not table.same_day_copies:
+        return table.index.possible(batch, replaced)
+    first, last = batch.agg(F.min("event_date"), F.max("event_date")).first()
+    others = table.stored(batch.sparkSession).filter(~replaced)
+    return others.filter(F.col("event_date").between(F.lit(first), F.lit(last)))
 
 
 def insert_new(batch: DataFrame, table: KeyedTable, stream_id: str, batch_id: int) -> None:
-    """Write the rows of one batch whose keys are new to the table.
+    """Write the rows of one batch whose keys are new to the table, then their keys to its index.
 
     The rebalance groups rows by day for the partitioned write and lets the
     adaptive planner split a day that is much larger than the others.
     """
+    if not table.same_day_copies:
+        table.index.complete(table.stored(batch.sparkSession))
     fresh = unseen(batch, candidates(batch, table, stream_id, batch_id), table.key)
     stamped = fresh.hint("rebalance", "event_date").withColumns(
         {"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("bigint")}
     )
     writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*LINEAGE, "event_date").parquet(table.path)
+    if not table.same_day_copies:
+        mine = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
+        table.index.add(table.stored(batch.sparkSession).filter(mine).select(table.key, *LINEAGE))
 
 
 def compact(spark: SparkSession, table: KeyedTable, path: str) -> KeyedTable:
