@@ -345,6 +345,12 @@ SCORES = """
     SELECT review_id, product_category, star_rating, sentiment_label, sentiment_score,
         review_date FROM sentiment"""
 
+UNNUMBERED = """
+        SELECT product_category || '-' || place AS review_id, product_category, star_rating, review_date
+        FROM (SELECT *, row_number() OVER (PARTITION BY product_category ORDER BY seq) - 1 AS place
+              FROM corpus)
+        WHERE {} AND star_rating BETWEEN 1 AND 5 AND review_text <> ''"""
+
 QUERIES = {
     "parse_events": _all("records"),
     "clean_events": _all("silver"),
@@ -391,6 +397,8 @@ QUERIES = {
         FROM (SELECT *, row_number() OVER (PARTITION BY product_category ORDER BY seq) AS place
               FROM corpus)
         WHERE place <= 25 AND star_rating BETWEEN 1 AND 5 AND review_text <> ''""",
+    "load_unnumbered_reviews": UNNUMBERED.format("true"),
+    "load_first_unnumbered_reviews": UNNUMBERED.format("place < 25"),
     "score_sentiment": SCORES,
     "score_sentiment_model": SCORES,
     "sentiment_agreement": """
@@ -501,6 +509,16 @@ QUERIES = {
         SELECT topic, "partition", count(*) AS records, count(DISTINCT user_id) AS keys,
             min("offset") AS first_offset, max("offset") AS last_offset, count(*) AS stamped
         FROM records GROUP BY ALL""",
+    "lost_ranges": """
+        SELECT topic, "partition", "offset" + 1 AS first_lost, next - 1 AS last_lost,
+            next - "offset" - 1 AS lost
+        FROM (SELECT *, lead("offset") OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS next
+              FROM (
+                SELECT topic, "partition", "offset" FROM records
+                WHERE "offset" % 97 NOT BETWEEN 13 AND 19 AND "offset" >= 300
+                UNION ALL SELECT topic, "partition", min("offset") - 1 FROM records GROUP BY ALL
+                UNION ALL SELECT topic, "partition", max("offset") + 4 FROM records GROUP BY ALL))
+        WHERE next > "offset" + 1""",
     "upsert_events": _all("silver"),
     "upsert_orders": _all("silver_orders"),
     "ingest_files": "SELECT * REPLACE (revenue::DOUBLE AS revenue) FROM line_sales",

@@ -30,7 +30,7 @@ from tidemart.functions.sentiment import (
     score_reviews,
     star_agreement,
 )
-from tidemart.operators import gold, propensity, quality
+from tidemart.operators import gold, offsets, propensity, quality
 from tidemart.operators.reviews import load_reviews, type_reviews
 from tidemart.operators.silver import clean_events as keep_clean
 from tidemart.operators.silver import parse_events as parse
@@ -296,6 +296,20 @@ def load_first_reviews(spark, sf_dir):
     return load_reviews(spark, slices, limit=25).drop("review_title", "review_text")
 
 
+@query
+def load_unnumbered_reviews(spark, sf_dir):
+    """Slices whose records carry no position: that of the record in the files."""
+    slices = td.write_unnumbered_slices(spark, sf_dir, scratch_dir(spark, "reviews"))
+    return load_reviews(spark, slices, numbered=False).drop("review_title", "review_text")
+
+
+@query
+def load_first_unnumbered_reviews(spark, sf_dir):
+    """The first 25 records of such slices, of the leading files only."""
+    slices = td.write_unnumbered_slices(spark, sf_dir, scratch_dir(spark, "reviews"))
+    return load_reviews(spark, slices, limit=25, numbered=False).drop("review_title", "review_text")
+
+
 @query
 def score_sentiment(spark, sf_dir):
     return score_reviews(_whole_reviews(spark, sf_dir), _prose_sentiment).drop("review_text")
@@ -474,6 +488,12 @@ def stream_bronze(spark, sf_dir):
     )
 
 
+@query
+def lost_ranges(spark, sf_dir):
+    """What a log lost, against what its partitions should hold."""
+    return offsets.lost_ranges(*td.thinned_log(spark, sf_dir), span=1000)
+
+
 @query
 def upsert_events(spark, sf_dir):
     events = events_table(_upserted(spark, sf_dir).silver_events).read(spark)

@@ -65,7 +65,9 @@ SILVER_ORDERS = """
     currency STRING, payment_method STRING
 """
 
-REVIEW_SOURCE = "seq BIGINT, rating DOUBLE, title STRING, text STRING, timestamp BIGINT"
+# A review record as it is downloaded, and with its position in its slice.
+REVIEW_FIELDS = "rating DOUBLE, title STRING, text STRING, timestamp BIGINT"
+REVIEW_SOURCE = f"seq BIGINT, {REVIEW_FIELDS}"
 
 REVIEWS = """
     review_id STRING, product_category STRING, star_rating INT,

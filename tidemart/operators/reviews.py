@@ -8,9 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.contracts import REVIEW_SOURCE
+from tidemart.contracts import REVIEW_FIELDS, REVIEW_SOURCE
 from tidemart.functions.text import clip, is_blank, squash
 from tidemart.operators.keyed import lowest_n
+from tidemart.sources.positions import read_numbered
 
 
 def load_reviews(
@@ -20,18 +21,24 @@ def load_reviews(
     fmt: str = "parquet",
     title_chars: int | None = None,
     text_chars: int | None = None,
+    numbered: bool = True,
 ) -> DataFrame:
     """Union of the category slices: all records with their whole texts.
 
     On request each slice is cut to its first ``limit`` records by ``seq``, the
     record's position in its slice, and titles and texts to a number of
     characters. Blank reviews count toward the limit and are dropped afterwards.
+    Files that are not ``numbered`` have no ``seq`` column; the position then is that of the
+    record in the slice's files, in order of their names.
     """
     slices = []
     for category, path in paths_by_category.items():
-        records = spark.read.schema(REVIEW_SOURCE).format(fmt).load(path)
-        if limit is not None:
-            records = lowest_n(records, "seq", limit)
+        if not numbered:
+            records = read_numbered(spark, path, REVIEW_FIELDS, fmt, "seq", limit)
+        else:
+            records = spark.read.schema(REVIEW_SOURCE).format(fmt).load(path)
+            if limit is not None:
+                records = lowest_n(records, "seq", limit)
         slices.append(records.withColumn("product_category", F.lit(category)))
     return type_reviews(reduce(DataFrame.unionByName, slices), title_chars, text_chars)
 

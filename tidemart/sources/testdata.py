@@ -285,3 +285,23 @@ def write_review_slices(spark: SparkSession, sf_dir: str, path: str) -> dict[str
     """Land the review records as one folder per category; category -> folder."""
     review_records(spark, sf_dir).write.partitionBy("product_category").parquet(path)
     return {category: f"{path}/product_category={category}" for category in CATEGORIES}
+
+
+def write_unnumbered_slices(spark: SparkSession, sf_dir: str, path: str, files: int = 5) -> dict[str, str]:
+    """The review records in their order, without it: several files per category; category -> folder."""
+    ordered = review_records(spark, sf_dir).repartitionByRange(files, "seq").sortWithinPartitions("product_category", "seq")
+    ordered.drop("seq").write.partitionBy("product_category").parquet(path)
+    return {category: f"{path}/product_category={category}" for category in CATEGORIES}
+
+
+def thinned_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The log with stretches removed by rule, and what each of its partitions should hold.
+
+    Offsets 13 to 19 of every 97 are gone, and the first 300 of all.
+    """
+    log = kafka_records(spark, sf_dir)
+    expected = log.groupBy("topic", "partition").agg(
+        F.min("offset").alias("first_offset"), (F.max("offset") + 4).alias("next_offset")
+    )
+    place = F.col("offset") % 97
+    return log.where(~place.between(13, 19) & (F.col("offset") >= 300)), expected
