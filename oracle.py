@@ -363,6 +363,7 @@ QUERIES = {
             user_id AS key, event_id, event_type, order_id FROM payloads""",
     "daily_sales": "SELECT * REPLACE (revenue::DOUBLE AS revenue) FROM sales",
     "daily_sales_tpch": "SELECT * REPLACE (revenue::DOUBLE AS revenue) FROM line_sales",
+    "refreshed_days": "SELECT * REPLACE (revenue::DOUBLE AS revenue) FROM sales",
     "funnel_daily": _all("funnel"),
     "user_behavior": _all("behavior"),
     "user_purchases": _all("purchases"),
@@ -525,6 +526,18 @@ QUERIES = {
     "load_history": """
         SELECT CASE WHEN order_date < DATE '1997-01-01' THEN 1 ELSE 2 END::INTEGER AS delivery,
             count(*) AS rows_loaded FROM line_sales GROUP BY 1""",
+    "load_history_files": """
+        SELECT delivery, status, CASE WHEN status = 'loaded' THEN rows ELSE 0 END AS rows_loaded,
+            bad_rows, CASE WHEN status = 'failed' THEN 'orders: not a bigint: many' END AS error
+        FROM (
+            SELECT 'early' AS delivery, 'loaded' AS status, count(*) AS rows, 0::BIGINT AS bad_rows
+            FROM line_sales WHERE order_date < DATE '1997-01-01'
+            UNION ALL SELECT 'late', 'loaded', count(*), 0 FROM line_sales
+            WHERE order_date >= DATE '1997-01-01'
+            UNION ALL SELECT 'empty', 'empty', 0, 0
+            UNION ALL SELECT 'failed', 'failed', 0, count(*) FROM line_sales
+            WHERE order_date < DATE '1997-01-01' AND product_category = 'promo')""",
+    "auto_ingest_files": "SELECT * REPLACE (revenue::DOUBLE AS revenue) FROM line_sales",
     "export_roundtrip": """
         SELECT sink, rows_read, orders, units, revenue, days, categories FROM (
             SELECT count(*) AS rows_read, sum(orders)::BIGINT AS orders,

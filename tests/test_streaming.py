@@ -292,3 +292,67 @@ def test_kafka_options():
     assert secure["kafka.security.protocol"] == "SASL_SSL"
     assert secure["kafka.sasl.mechanism"] == "PLAIN" and secure["minPartitions"] == "64"
     assert 'username="user" password="secret"' in secure["kafka.sasl.jaas.config"]
+
+
+STAGED = "order_date DATE, product_category STRING, orders STRING, units BIGINT, revenue DOUBLE"
+
+
+def test_tracked_ingest_gives_every_file_a_status(spark, tmp_path):
+    root = str(tmp_path)
+    day = dt.date(2025, 3, 14)
+
+    def stage(name, orders):
+        rows = [(day, "books", n, 1, 2.5) for n in orders]
+        spark.createDataFrame(rows, STAGED).coalesce(1).write.parquet(f"{root}/stage/{name}")
+
+    def run():
+        ingest.start_tracked_ingest(
+            spark, f"{root}/stage/*", STAGED, RAW_DAILY_SALES, f"{root}/raw", f"{root}/history", f"{root}/cp"
+        ).awaitTermination()
+
+    stage("good one+a", ["1", "2"])
+    stage("bad", ["3", "x", "y"])
+    stage("empty", [])
+    run()
+    stage("later", ["4"])
+    run()
+    run()
+    history = {
+        re.search("stage/([^/]+)/", r.source_file)[1]: (r.status, r.rows_loaded, r.bad_rows, r.error)
+        for r in ingest.file_history(spark.read.parquet(f"{root}/history")).collect()
+    }
+    assert history == {
+        "good one+a": ("loaded", 2, 0, None),
+        "bad": ("failed", 0, 2, "orders: not a bigint: x"),
+        "empty": ("empty", 0, 0, None),
+        "later": ("loaded", 1, 0, None),
+    }
+    assert sorted(r.orders for r in spark.read.parquet(f"{root}/raw").collect()) == [1, 2, 4]
+
+
+def test_refresh_rewrites_touched_days_only(spark, lake, log):
+    from tidemart.plans.refresh import refresh_gold
+
+    root = f"{lake.root}/by_day"
+
+    def run(batch, *days_and_names):
+        payloads = [
+            event(n, "purchase", order=order(f"o-{n}"), event_ts=f"2025-03-{day:02d}T08:30:00+00:00") for day, n in days_and_names
+        ]
+        clean = silver.clean_events(silver.parse_events(log(payloads))).persist()
+        silver.insert_new(clean, lake.events, "s1", batch)
+        silver.insert_new(silver.split_orders(clean), lake.orders, "s1", batch)
+        clean.unpersist()
+        return refresh_gold(spark, lake.events, lake.orders, root)
+
+    def files():
+        frame = spark.read.parquet(f"{root}/daily_sales")
+        return {(r.order_date, r.orders, r.f) for r in frame.select("order_date", "orders", F.input_file_name().alias("f")).collect()}
+
+    assert run(0, (1, "a"), (2, "b"), (2, "c"))["daily_sales"] == [dt.date(2025, 3, 1), dt.date(2025, 3, 2)]
+    first = files()
+    assert run(1, (2, "d"), (3, "e"), (1, "a"))["daily_sales"] == [dt.date(2025, 3, 2), dt.date(2025, 3, 3)]
+    second = files()
+    assert {f for f in first if f[0].day == 1} == {f for f in second if f[0].day == 1}
+    assert sorted((d.day, n) for d, n, _ in second) == [(1, 1), (2, 3), (3, 1)]
+    assert refresh_gold(spark, lake.events, lake.orders, root) == {"daily_sales": [], "funnel_daily": []}

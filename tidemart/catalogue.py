@@ -36,7 +36,7 @@ from tidemart.operators.silver import clean_events as keep_clean
 from tidemart.operators.silver import parse_events as parse
 from tidemart.operators.silver import reject_events
 from tidemart.operators.silver import split_orders as flat_orders
-from tidemart.plans import dashboards, marts, pipeline, staging
+from tidemart.plans import dashboards, marts, pipeline, refresh, staging
 from tidemart.plans.pipeline import Lake, run_bronze, run_silver
 from tidemart.session import configure, scratch_dir
 from tidemart.sinks import publish as sinks
@@ -44,8 +44,10 @@ from tidemart.sources import testdata as td
 from tidemart.sources.kafka import file_stream
 from tidemart.sources.tables import read_table, read_typed
 from tidemart.streaming import ingest
+from tidemart.streaming.key_index import LINEAGE
 from tidemart.streaming.routing import route_events
 from tidemart.streaming.silver import events_table, orders_table
+from tidemart.streaming.triggers import DRAIN, every
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -541,6 +543,66 @@ def load_history(spark, sf_dir):
     )
 
 
+def _tracked(spark, sf_dir, trigger=DRAIN) -> str:
+    """Line sales staged in two files, one without rows, one with a value that is no number; the lake's root."""
+    root = scratch_dir(spark, "tracked")
+    sales = daily_sales_tpch(spark, sf_dir).withColumn("revenue", F.col("revenue").cast("double"))
+    early = F.col("order_date") < dt.date(1997, 1, 1)
+    text = "order_date DATE, product_category STRING, orders STRING, units BIGINT, revenue DOUBLE"
+    as_text = sales.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(text)])
+    spoiled = as_text.where(early).withColumn("orders", F.when(F.col("product_category") == "promo", "many").otherwise(F.col("orders")))
+    deliveries = {"early": as_text.where(early), "late": as_text.where(~early), "empty": as_text.where("false"), "failed": spoiled}
+    stream = None
+    for name, rows in deliveries.items():
+        rows.coalesce(1).write.parquet(f"{root}/stage/{name}")
+        if stream is None:
+            stream = ingest.start_tracked_ingest(
+                spark, f"{root}/stage/*", text, RAW_DAILY_SALES, f"{root}/raw", f"{root}/history", f"{root}/checkpoint", trigger
+            )
+    if trigger is DRAIN:
+        stream.awaitTermination()
+        ingest.start_tracked_ingest(
+            spark, f"{root}/stage/*", text, RAW_DAILY_SALES, f"{root}/raw", f"{root}/history", f"{root}/checkpoint", trigger
+        ).awaitTermination()
+    else:
+        # The files came while the stream was polling; it stops when all are in.
+        stream.processAllAvailable()
+        stream.stop()
+    return root
+
+
+@query
+def load_history_files(spark, sf_dir):
+    """Every staged file with its status, those without rows and those left out as well."""
+    history = ingest.file_history(read_table(spark, f"{_tracked(spark, sf_dir)}/history"))
+    delivery = F.regexp_extract("source_file", "/([^/]+)/[^/]+$", 1).alias("delivery")
+    return history.select(delivery, "status", "rows_loaded", "bad_rows", "error")
+
+
+@query
+def auto_ingest_files(spark, sf_dir):
+    """The rows that arrived while a polling stream ran."""
+    root = _tracked(spark, sf_dir, every("1 second"))
+    return read_table(spark, f"{root}/raw").drop("source_file", "loaded_at", *LINEAGE)
+
+
+@query
+def refreshed_days(spark, sf_dir):
+    """Daily tables after three deliveries, of which the last holds late records of earlier days only."""
+    lake = Lake(scratch_dir(spark, "lake"))
+    log = td.kafka_records(spark, sf_dir)
+    later = F.col("timestamp") >= dt.datetime(2024, 1, 15, tzinfo=dt.timezone.utc)
+    straggler = ~later & (F.col("partition") == 3)
+    events, orders = events_table(lake.silver_events), orders_table(lake.silver_orders)
+    for records in (log.where(~later & ~straggler), log.where(later), log.where(straggler)):
+        _deliver(spark, lake, records)
+        run_silver(spark, lake).awaitTermination()
+        refresh.refresh_gold(spark, events, orders, lake.gold("by_day"))
+    return refresh.read_daily(spark, lake.gold("by_day"), "daily_sales").select(
+        "order_date", "product_category", "orders", "units", "revenue"
+    )
+
+
 # --- sinks -----------------------------------------------------------------------------
 
 
