@@ -3,15 +3,16 @@
 Learning. A token's weight is its log-odds of standing in a toxic rather than in
 a clean labelled document, with an informative Dirichlet prior: each class is
 given the corpus' token proportions as pseudo-counts. Tokens whose weight is at
-least ``LEAST_Z`` standard errors above zero (or about as many as the surest token's) keep it (at most ``LEXICON``, the
-surest first, so the broadcast lexicon is bounded); all other tokens cost
+least ``LEAST_Z`` standard errors above zero (or about as many as the surest token's) keep it; all other tokens cost
 ``DRIFT``. At most about ``PER_CLASS`` labelled rows of each class are used,
-drawn by a hash of the key; the bound is documented and only concerns fitting.
+drawn by a hash of the key; the bound is documented and only concerns fitting. It bounds the
+lexicon, too, which is broadcast.
 
 Scoring. One linear scan finds every maximal-scoring segment of the whole text
 (all disjoint segments that cannot be improved by growing or cutting). Under
 chance, a text of n tokens has ``K n exp(-lambda S)`` segments of score S or
-more, lambda solving ``E[exp(lambda * weight)] = 1`` over clean tokens. Segments
+more, lambda solving ``E[exp(lambda * weight)] = 1`` over clean tokens, K being the likeliest
+for the best segments of the clean labelled sample. Segments
 expected less than ``SIGNIFICANT`` times are toxic passages. A document's
 evidence is the sum over these of ``lambda S - ln(K n)``; a logistic curve,
 fitted on the labelled sample, turns the evidence into a probability.
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +37,6 @@ from pyspark.sql import functions as F
 from tidemart.llm.common import fold, map_batches, narrow, text_chunks
 
 PER_CLASS = 20_000
-LEXICON = 50_000
 LEAST_Z = 2.5
 DRIFT = -0.25
 SIGNIFICANT = 0.05
@@ -84,15 +85,20 @@ class ToxicityModel:
     intercept: float
     drift: float = DRIFT
 
-    def passages(self, words: list[str]) -> list[tuple[int, int, float]]:
-        """Significant segments of a text as (first token, end token, surplus over chance)."""
+    def segments(self, words: list[str]) -> list[tuple[int, int, float]]:
         known = self.lexicon
         places = [i for i, w in enumerate(words) if w in known]
-        if not places:
-            return []
-        chance = math.log(max(1.0, self.scale * len(words)))
+        return maximal_segments(places, [known[words[i]] for i in places], self.drift) if places else []
+
+    def best(self, words: list[str]) -> float:
+        return max([s[2] for s in self.segments(words)], default=0.0)
+
+    def passages(self, words: list[str]) -> list[tuple[int, int, float]]:
+        """Significant segments of a text as (first token, end token, surplus over chance)."""
+        segments = self.segments(words)
+        chance = math.log(self.scale * len(words)) if segments else 0.0
         found = []
-        for first, end, score in maximal_segments(places, [known[words[i]] for i in places], self.drift):
+        for first, end, score in segments:
             surplus = self.rate * score - chance
             if surplus > -math.log(SIGNIFICANT):
                 found.append((first, end, surplus))
@@ -125,6 +131,17 @@ def extreme_value_rate(weights: np.ndarray, chances: np.ndarray, drift: float) -
     return low
 
 
+def extreme_value_scale(best: np.ndarray, sizes: np.ndarray, rate: float) -> float:
+    """The K that makes the best segment scores of texts likeliest, 1 without any.
+
+    A best score of at most S has the chance ``exp(-K n exp(-rate S))``; texts without a segment (best 0)
+    are known to stay below any score.
+    """
+    seen = best > 0
+    weight = (sizes[seen] * np.exp(-rate * best[seen])).sum() + sizes[~seen].sum()
+    return float(seen.sum() / weight) if seen.any() and weight > 0 else 1.0
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 50) -> tuple[float, float]:
     """Slope and intercept of a weighted logistic fit with a light ridge, by Newton steps."""
     slope, intercept = 0.0, 0.0
@@ -151,7 +168,7 @@ def training_labels(labels: DataFrame, folds: int = 4, held: int = 2) -> DataFra
     )
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, lexicon: int = LEXICON) -> ToxicityModel:
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> ToxicityModel:
     """Fit on the documents that ``labels`` (doc_id, toxic) names."""
     sizes = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}
     if set(sizes) != {0, 1}:
@@ -196,16 +213,14 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, lexico
         y1, y0 = F.col("toxic") + prior, F.col("clean") + prior
         weight = F.log(y1 / (F.lit(2 * n_toxic) - y1)) - F.log(y0 / (F.lit(n_clean + n_toxic) - y0))
         error = F.sqrt(1 / y1 + 1 / y0)
-        kept = (
+        sure = (
             counted.where((F.col("token") != "") & (F.col("toxic") > 0))
             .select("token", "clean", weight.alias("weight"), (weight / error).alias("z"))
             .where(F.col("z") > 1)
-            .orderBy(F.desc("z"), "token")
-            .limit(lexicon)
-            .collect()
         )
         # With so few labels that no token is sure enough, those about as sure as the surest count.
-        kept = [r for r in kept if r["z"] >= min(LEAST_Z, kept[0]["z"] - 0.5)]
+        surest = sure.agg(F.max("z")).first()[0] or 0.0
+        kept = sure.where(F.col("z") >= min(LEAST_Z, surest - 0.5)).orderBy("token").collect()
         clean_tokens = counted.where(F.col("token") == "").first()["clean"]
     finally:
         counted.unpersist()
@@ -218,24 +233,34 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, lexico
     model = ToxicityModel(
         {r["token"]: r["weight"] for r in kept}, extreme_value_rate(weights, chances, DRIFT), 1.0, 0.0, 0.0
     )
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    x, sizes, y = _weighed(sample, model, lambda learned, words: learned.best(words))
+    model.scale = extreme_value_scale(x[y == 0], sizes[y == 0], model.rate)
+    x, _, y = _weighed(sample, model, lambda learned, words: sum(p[2] for p in learned.passages(words)))
+    model.slope, model.intercept = fit_logistic(x, y, np.where(y == 1, 1 / share[1], 1 / share[0]))
+    return model
+
 
-    def weigh():
+def _weighed(
+    sample: DataFrame, model: ToxicityModel, weigh: Callable[[ToxicityModel, list[str]], float]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``weigh`` makes of each text of the labelled sample, its number of tokens and its label."""
+    shared = sample.sparkSession.sparkContext.broadcast(model)
+
+    def make():
         learned = shared.value
 
         def step(batch: pa.RecordBatch):
+            words = [tokens(t or "") for t in batch.column("text").to_pylist()]
             yield {
                 "toxic": batch.column("toxic"),
-                "evidence": [learned.evidence(t or "") for t in batch.column("text").to_pylist()],
+                "tokens": [len(w) for w in words],
+                "weight": [weigh(learned, w) for w in words],
             }
 
         return step
 
-    scored = map_batches(sample, weigh, "toxic int, evidence double").collect()
-    x = np.array([r["evidence"] for r in scored])
-    y = np.array([r["toxic"] for r in scored])
-    model.slope, model.intercept = fit_logistic(x, y, np.where(y == 1, 1 / share[1], 1 / share[0]))
-    return model
+    rows = map_batches(sample, make, "toxic int, tokens long, weight double").collect()
+    return (*(np.array([r[c] for r in rows], dtype=float) for c in ("weight", "tokens")), np.array([r["toxic"] for r in rows]))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
