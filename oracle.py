@@ -402,6 +402,7 @@ QUERIES = {
     "load_first_unnumbered_reviews": UNNUMBERED.format("place < 25"),
     "score_sentiment": SCORES,
     "score_sentiment_model": SCORES,
+    "score_sentiment_by_length": SCORES,
     "sentiment_agreement": """
         SELECT count(*) AS reviews,
             count(*) FILTER (WHERE (star_rating > 3) = (sentiment_label = 'POSITIVE'))::DOUBLE
@@ -475,6 +476,31 @@ QUERIES = {
             UNION ALL SELECT 'raw_funnel_daily', count(*) FROM funnel
             UNION ALL SELECT 'raw_review_sentiment', count(*) FROM sentiment
             UNION ALL SELECT 'raw_user_propensity', count(*) FROM scored_visits)""",
+    "publish_all_or_none": """
+        SELECT *, true AS first_run FROM (
+            SELECT 'raw_daily_sales' AS table_name, count(*) AS rows FROM sales
+            UNION ALL SELECT 'raw_funnel_daily', count(*) FROM funnel
+            UNION ALL SELECT 'raw_review_sentiment', count(*) FROM sentiment
+            UNION ALL SELECT 'raw_user_propensity', count(*) FROM scored_visits)""",
+    "schema_differences": """
+        SELECT 'nation' AS table_name, 'n_comment' AS column_name, 'missing' AS difference, 'string' AS declared,
+            NULL AS found, count(*) AS rows_affected FROM nation
+        UNION ALL SELECT 'nation', 'n_nationkey', 'narrowed', 'bigint', 'int', 0
+        UNION ALL SELECT 'nation', 'n_regionkey', 'changed', 'string', 'int', 0
+        UNION ALL SELECT 'lineitem', unnest(['l_partkey','l_suppkey','l_linenumber','l_extendedprice','l_discount',
+                'l_returnflag','l_linestatus']), 'extra', NULL,
+            unnest(['bigint','bigint','int','double','double','string','string']),
+            unnest([count(l_partkey), count(l_suppkey), count(l_linenumber), count(l_extendedprice), count(l_discount),
+                count(l_returnflag), count(l_linestatus)]) FROM lineitem
+        UNION ALL SELECT 'lineitem', 'l_shipdate', 'widened', 'date', 'timestamp_ntz',
+            count(*) FILTER (WHERE l_shipdate::DATE::TIMESTAMP <> l_shipdate) FROM lineitem
+        UNION ALL SELECT 'lineitem', 'l_tax', 'widened', 'float', 'double',
+            count(*) FILTER (WHERE l_tax::FLOAT::DOUBLE <> l_tax) FROM lineitem
+        UNION ALL SELECT 'lineitem', 'l_weight', 'missing', 'double', NULL, count(*) FROM lineitem
+        UNION ALL SELECT 'labels', 'doc_id', 'widened', 'int', 'bigint',
+            count(*) FILTER (WHERE doc_id > 2147483647) FROM labels""",
+    "repeated_keys": """
+        SELECT event_id, count(*) AS copies FROM records GROUP BY 1 HAVING count(*) > 1""",
     "odd_events": _all("odd_silver"),
     "odd_rejects": """
         SELECT CASE WHEN n % 40 IN (1, 5, 6) THEN 'missing_event_id'

@@ -40,6 +40,7 @@ from tidemart.plans import dashboards, marts, pipeline, refresh, staging
 from tidemart.plans.pipeline import Lake, run_bronze, run_silver
 from tidemart.session import configure, scratch_dir
 from tidemart.sinks import publish as sinks
+from tidemart.sources import schemas
 from tidemart.sources import testdata as td
 from tidemart.sources.kafka import file_stream
 from tidemart.sources.tables import read_table, read_typed
@@ -325,6 +326,14 @@ def score_sentiment_model(spark, sf_dir):
     return scored.drop("review_text")
 
 
+@query
+def score_sentiment_by_length(spark, sf_dir):
+    """The same score with each task's texts in order of length."""
+    scorer = lexicon_scorer(td.PROSE_POSITIVE, td.PROSE_NEGATIVE)
+    scored = score_reviews(_whole_reviews(spark, sf_dir), model_sentiment(scorer), by_length=True)
+    return scored.drop("review_text")
+
+
 @query
 def sentiment_agreement(spark, sf_dir):
     return star_agreement(score_sentiment(spark, sf_dir))
@@ -632,6 +641,61 @@ def publish_warehouse(spark, sf_dir):
     return reduce(DataFrame.unionByName, rows)
 
 
+@query
+def publish_all_or_none(spark, sf_dir):
+    """Totals that readers see after a full run and a second one, of other rows, that fails at its third table."""
+    root = scratch_dir(spark, "publish")
+    gold_tables = {
+        "daily_sales": daily_sales(spark, sf_dir),
+        "funnel_daily": funnel_daily(spark, sf_dir),
+        "review_sentiment": score_reviews(_whole_reviews(spark, sf_dir), _prose_sentiment),
+        "user_propensity": _raw_propensity(spark, sf_dir).drop("loaded_at"),
+    }
+    for name, rows in gold_tables.items():
+        sinks.overwrite_table(rows, f"{root}/gold/{name}")
+    first = sinks.publish_run(spark, f"{root}/gold", f"{root}/warehouse")
+    sinks.overwrite_table(daily_sales(spark, sf_dir).limit(1), f"{root}/gold/daily_sales")
+
+    def failing(path: str) -> sinks.Writer:
+        write, written = sinks.parquet_writer(path), []
+
+        def third_fails(rows: DataFrame, table: str) -> None:
+            written.append(table)
+            if len(written) == 3:
+                raise OSError("disk full")
+            write(rows, table)
+
+        return third_fails
+
+    try:
+        sinks.publish_run(spark, f"{root}/gold", f"{root}/warehouse", failing)
+    except OSError:
+        pass
+    seen = sinks.read_published(spark, f"{root}/warehouse")
+    kept = F.lit(sinks.published_run(spark, f"{root}/warehouse") == first).alias("first_run")
+    return reduce(
+        DataFrame.unionByName,
+        [t.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows", kept) for name, t in seen.items()],
+    )
+
+
+DECLARED_TABLES = {
+    "nation": "n_nationkey BIGINT, n_name STRING, n_regionkey STRING, n_comment STRING",
+    "lineitem": "l_orderkey BIGINT, l_quantity DOUBLE, l_tax FLOAT, l_shipdate DATE, l_weight DOUBLE",
+    "labels": "doc_id INT, quality INT, toxic INT",
+}
+
+
+@query
+def schema_differences(spark, sf_dir):
+    """How given tables differ from what is declared for them here, one row per column, with the rows concerned."""
+    reports = [
+        schemas.schema_report(read_table(spark, f"{sf_dir}/{name}.parquet"), declared).withColumn("table_name", F.lit(name))
+        for name, declared in DECLARED_TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
 @query
 def export_roundtrip(spark, sf_dir):
     """One gold table through every batch sink and back, totals per sink."""
@@ -719,6 +783,12 @@ def odd_staging(spark, sf_dir):
     return reduce(DataFrame.unionByName, rows)
 
 
+@query
+def repeated_keys(spark, sf_dir):
+    """Event ids that the log holds several times, found by their hashes first."""
+    return quality.unique_by_hash(parse(td.kafka_records(spark, sf_dir)), "event_id")
+
+
 @query
 def odd_checks(spark, sf_dir):
     """The check suite over marts with missing and repeated keys and uneven days."""

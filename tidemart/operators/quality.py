@@ -22,6 +22,10 @@ from tidemart.contracts import (
     SEGMENTS,
     SENTIMENT_STATUSES,
 )
+from tidemart.session import scratch_dir
+
+# 8 bytes each; hashed for the join, several times that.
+BROADCAST_HASHES = 1 << 20
 
 
 def _is_missing(column: str) -> Column:
@@ -61,6 +65,26 @@ def unique(df: DataFrame, column: str) -> DataFrame:
     return counted.filter("copies > 1")
 
 
+def unique_by_hash(df: DataFrame, column: str) -> DataFrame:
+    """As ``unique``, in two passes for long keys of which few repeat.
+
+    The first counts 64-bit hashes, so 8 bytes a key are shuffled however long keys are; the second
+    counts the keys whose hash repeats, which also tells unequal keys of one hash apart. The hashes that
+    repeat are written, and broadcast if they are few; else the keys are shuffled to meet them.
+    """
+    spark = df.sparkSession
+    filled = df.dropna(subset=[column])
+    hashed = filled.select(F.xxhash64(column).alias("__hash"))
+    repeated = hashed.groupBy("__hash").agg(F.count("*").alias("copies")).filter("copies > 1").select("__hash")
+    path = scratch_dir(spark, "repeated-hashes")
+    repeated.write.parquet(path)
+    repeated = spark.read.schema("__hash BIGINT").parquet(path)
+    if repeated.count() <= BROADCAST_HASHES:
+        repeated = F.broadcast(repeated)
+    suspects = filled.select(column, F.xxhash64(column).alias("__hash")).join(repeated, "__hash", "left_semi")
+    return unique(suspects.drop("__hash"), column)
+
+
 def share_sum(revenue: DataFrame, tolerance: float = 0.001) -> DataFrame:
     """Days whose category shares do not add up to one; a NULL total passes."""
     totals = revenue.groupBy("order_date").agg(

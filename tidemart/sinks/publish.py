@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemart.contracts import WAREHOUSE_TABLES
+from tidemart.sources.schemas import Difference, check_schema
 from tidemart.sources.tables import read_if_exists, read_table
 
 Writer = Callable[[DataFrame, str], None]
@@ -81,13 +83,50 @@ def publish(spark: SparkSession, gold_root: str, write: Writer) -> dict[str, int
         if gold is None:
             loaded[table] = None
             continue
+        check_schema(schema, gold.schema, f"{gold_root}/{name}")
         stamped = gold.to(StructType.fromDDL(schema)).withColumn("loaded_at", F.current_timestamp())
         write(stamped, table)
         loaded[table] = gold.count()
     return loaded
 
 
-def ensure_table(spark: SparkSession, path: str, schema: str) -> None:
-    """Create an empty table with the declared schema unless one is there."""
-    if read_if_exists(spark, path, schema) is None:
+def publish_run(spark: SparkSession, gold_root: str, root: str, writer: Callable[[str], Writer] = parquet_writer) -> str | None:
+    """Publish all warehouse tables or none of them: the run's id, or ``None`` where a gold table is missing.
+
+    The tables are written under a folder of the run; readers find a run through the list of finished
+    ones, to which it is added last, as one file. Until then, and if any table fails, they
+    keep reading the run before.
+    """
+    run_id = uuid.uuid4().hex
+    loaded = publish(spark, gold_root, writer(f"{root}/runs/{run_id}"))
+    if None in loaded.values():
+        return None
+    finished = spark.range(1).select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("finished_at"))
+    finished.coalesce(1).write.mode("append").parquet(f"{root}/finished")
+    return run_id
+
+
+def published_run(spark: SparkSession, root: str) -> str | None:
+    """The run that readers see: the one finished last."""
+    finished = read_if_exists(spark, f"{root}/finished", "run_id STRING, finished_at TIMESTAMP")
+    return None if finished is None else finished.agg(F.max_by("run_id", "finished_at")).first()[0]
+
+
+def read_published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """All tables of one published run, so that they belong together."""
+    run_id = published_run(spark, root)
+    if run_id is None:
+        return {}
+    return {table: read_table(spark, f"{root}/runs/{run_id}/{table}") for table, _ in WAREHOUSE_TABLES.values()}
+
+
+def ensure_table(spark: SparkSession, path: str, schema: str) -> list[Difference]:
+    """Create an empty table with the declared schema unless one is there; how that one differs.
+
+    A table that lacks a declared column, or holds one in a type that does not fit, is an error.
+    """
+    found = read_if_exists(spark, path)
+    if found is None:
         spark.createDataFrame([], schema).write.parquet(path)
+        return []
+    return check_schema(schema, found.schema, path)
