@@ -117,3 +117,13 @@ def test_long_text_in_parts(libraries, monkeypatch):
     assert found["n_a"][0] == len(libraries[0].encode(" " + text, add_special_tokens=False).ids)
     assert found["n_b"][0] == len(libraries[1].encode(text))
     assert found["links"][:, 2].sum() == found["n_links"][0] == found["n_a"][0] + found["n_b"][0] - found["n_groups"][0]
+
+
+def test_both_forms_of_the_first_tokenizer_agree(libraries):
+    """Each token of the vocabulary as a text, odd texts, and words too long for the faster form."""
+    model = alignment.load(*PATHS)
+    assert model.ranked is not None
+    texts = [b.decode() for b in model.first_bytes if b.decode(errors="ignore").encode() == b]
+    texts += [r[1] or "" for r in ODD_ROWS] + ["y" * 900 + " z", "a\u00a0b\u2003 c\u3000d\x85e\x1cf", "it's WE'LL \u02bcs 1\u00b2\u2167"]
+    for text in texts:
+        assert model.first_ids(text) == libraries[0].encode(" " + text, add_special_tokens=False).ids, text

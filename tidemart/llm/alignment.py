@@ -36,13 +36,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tidemart.llm.bpe import printable_bytes
+from tidemart.llm.bpe import PATTERN, printable_bytes
 from tidemart.llm.common import map_batches, narrow, saved, shuffle_partitions, text_chunks
 from tidemart.llm.token_counts import SPACE
 from tidemart.llm.word_hash import mix
 
-CHUNK_CHARS = 1 << 22
-PART_CHARS = 1 << 19
+CHUNK_CHARS = 1 << 21
+PART_CHARS = 1 << 18
+LONG_WORD = 1000
 SEGMENT_PAIRS = 1 << 20
 CUT = re.compile(r"(?<=[^\W\d_]) (?=[^\W\d_])")
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -74,10 +75,33 @@ class TwoTokenizers:
             self.first_bytes[i] = bytes(byte_of[c] for c in token) if known else token.encode()
         pieces = [self.second.id_to_piece(i) for i in range(self.second.get_piece_size())]
         self.second_bytes = [_piece_bytes(p) for p in pieces]
+        self.ranked = self._ranked(byte_path)
         self.first_sizes = np.array([len(b) for b in self.first_bytes])
         self.second_sizes = np.array([len(b) for b in self.second_bytes])
         self.cuttable = not any(SPACE in p.lstrip(SPACE) for p in pieces)
 
+    def _ranked(self, path: str):
+        """The first tokenizer as a table of ranks, which encodes several times faster; None if ids do not follow the merges."""
+        import json
+
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = np.array([model["vocab"][a + b] for a, b in pairs])
+        if len(made) < 2 or not (np.diff(made) > 0).all():
+            return None
+        alone = [model["vocab"][c] for c in printable_bytes()]
+        ranks = {self.first_bytes[i]: i for i in [*alone, *made.tolist()]}
+        return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def first_ids(self, part: str) -> list[int]:
+        # The faster one takes quadratic time for a long pre-token.
+        if self.ranked is not None and max(map(len, part.split()), default=0) <= LONG_WORD:
+            return self.ranked.encode_ordinary(" " + part)
+        return self.first.encode(" " + part, add_special_tokens=False).ids
+
     def parts(self, text: str) -> list[str]:
         """The text without its cuts' spaces, which tokenising a part puts back."""
         if not text or len(text) <= PART_CHARS or not self.cuttable:
@@ -93,12 +117,12 @@ class TwoTokenizers:
 
     def ids(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both sides; empty lists where either does not render the part byte for byte."""
-        one = [e.ids for e in self.first.encode_batch([" " + p for p in parts], add_special_tokens=False)]
+        one = [self.first_ids(p) for p in parts]
         other = self.second.encode(parts, num_threads=1)
-        a, b = self.first_bytes, self.second_bytes
+        a, b = self.first_bytes.__getitem__, self.second_bytes.__getitem__
         for i, part in enumerate(parts):
             whole = b" " + part.encode()
-            if b"".join([a[t] for t in one[i]]) != whole or b"".join([b[t] for t in other[i]]) != whole:
+            if b"".join(map(a, one[i])) != whole or b"".join(map(b, other[i])) != whole:
                 one[i] = other[i] = []
         return one, other
 
