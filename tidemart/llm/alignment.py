@@ -44,6 +44,7 @@ from tidemart.llm.word_hash import mix
 CHUNK_CHARS = 1 << 21
 PART_CHARS = 1 << 18
 LONG_WORD = 1000
+REMEMBERED = 60_000
 SEGMENT_PAIRS = 1 << 20
 CUT = re.compile(r"(?<=[^\W\d_]) (?=[^\W\d_])")
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -79,6 +80,7 @@ class TwoTokenizers:
         self.first_sizes = np.array([len(b) for b in self.first_bytes])
         self.second_sizes = np.array([len(b) for b in self.second_bytes])
         self.cuttable = not any(SPACE in p.lstrip(SPACE) for p in pieces)
+        self.known: dict[str, list[int]] = {}
 
     def _ranked(self, path: str):
         """The first tokenizer as a table of ranks, which encodes several times faster; None if ids do not follow the merges."""
@@ -102,6 +104,18 @@ class TwoTokenizers:
             return self.ranked.encode_ordinary(" " + part)
         return self.first.encode(" " + part, add_special_tokens=False).ids
 
+    def second_ids(self, parts: list[str]) -> list[list[int]]:
+        """Words between single spaces are encoded once for many texts, other parts whole."""
+        words = [p.split(" ") if self.cuttable and SPACE not in p else [""] for p in parts]
+        plain = [all(w) for w in words]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        known = self.known
+        new = list({w for p, ws in zip(plain, words) if p for w in ws if w not in known})
+        known.update(zip(new, self.second.encode(new, num_threads=1)))
+        whole = iter(self.second.encode([p for p, one in zip(parts, plain) if not one], num_threads=1))
+        return [[t for w in ws for t in known[w]] if p else next(whole) for p, ws in zip(plain, words)]
+
     def parts(self, text: str) -> list[str]:
         """The text without its cuts' spaces, which tokenising a part puts back."""
         if not text or len(text) <= PART_CHARS or not self.cuttable:
@@ -118,7 +132,7 @@ class TwoTokenizers:
     def ids(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both sides; empty lists where either does not render the part byte for byte."""
         one = [self.first_ids(p) for p in parts]
-        other = self.second.encode(parts, num_threads=1)
+        other = self.second_ids(parts)
         a, b = self.first_bytes.__getitem__, self.second_bytes.__getitem__
         for i, part in enumerate(parts):
             whole = b" " + part.encode()
@@ -297,6 +311,7 @@ def block_rows(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
                     "links": [_pack(np.concatenate([of_text, np.diff(place, prepend=0), count]))],
                 }
 
+        step.done = tokenizers.known.clear
         return step
 
     return map_batches(rows, make, BLOCK_SCHEMA)
