@@ -43,7 +43,7 @@ from tidemart.sinks import publish as sinks
 from tidemart.sources import schemas
 from tidemart.sources import testdata as td
 from tidemart.sources.kafka import file_stream
-from tidemart.sources.tables import read_table, read_typed
+from tidemart.sources.tables import read_if_exists, read_table, read_typed
 from tidemart.streaming import ingest
 from tidemart.streaming.key_index import LINEAGE
 from tidemart.streaming.routing import route_events
@@ -396,7 +396,7 @@ _TRAINED: dict[tuple[str, str], tuple[str, str]] = {}
 def _trained(spark, sf_dir):
     """(version, model, users with their side), trained on the 75 % side."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TRAINED:
+    if key not in _TRAINED or read_if_exists(spark, _TRAINED[key][1]) is None:
         root, path = scratch_dir(spark, "models"), scratch_dir(spark, "features")
         propensity.with_split(_labelled(spark, sf_dir)).write.parquet(path)
         users = read_table(spark, path)

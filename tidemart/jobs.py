@@ -20,13 +20,17 @@ from pyspark.sql import SparkSession
 if __package__ in (None, ""):
     sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tidemart.contracts import WAREHOUSE_TABLES  # noqa: E402
+from tidemart.contracts import BRONZE, WAREHOUSE_TABLES  # noqa: E402
 from tidemart.operators import quality  # noqa: E402
-from tidemart.plans import pipeline  # noqa: E402
+from tidemart.operators.offsets import lost_ranges  # noqa: E402
 from tidemart.operators.propensity import TreeSettings  # noqa: E402
+from tidemart.plans import pipeline  # noqa: E402
+from tidemart.plans.refresh import refresh_gold  # noqa: E402
 from tidemart.session import cluster_settings, configure  # noqa: E402
-from tidemart.sinks.publish import catalog_writer, connector_writer, export_csv  # noqa: E402
+from tidemart.sinks.publish import catalog_writer, connector_writer, export_csv, overwrite_table  # noqa: E402
 from tidemart.sources.kafka import file_stream, kafka_options, kafka_stream  # noqa: E402
+from tidemart.sources.tables import read_table  # noqa: E402
+from tidemart.streaming.silver import events_table, orders_table  # noqa: E402
 from tidemart.streaming.triggers import DRAIN, every  # noqa: E402
 
 MARTS = [
@@ -55,8 +59,12 @@ def parser() -> argparse.ArgumentParser:
     for job in (bronze, silver):
         job.add_argument("--every", help="keep running, one batch per interval")
     jobs.add_parser("gold", help="daily sales, funnel, user features")
+    jobs.add_parser("refresh", help="daily tables by day, only the days of new batches")
+    lost = jobs.add_parser("lost", help="offset ranges missing from bronze")
+    lost.add_argument("--expected", help="Parquet folder: topic, partition, first_offset, next_offset")
     reviews = jobs.add_parser("reviews", help="load the review slices")
     reviews.add_argument("slices", nargs="+", metavar="CATEGORY=PATH")
+    reviews.add_argument("--unnumbered", action="store_true", help="the files hold no seq column")
     reviews.add_argument("--limit", type=int, help="only the first records of each slice")
     reviews.add_argument("--title-chars", type=int, help="cut titles")
     reviews.add_argument("--text-chars", type=int, help="cut texts")
@@ -110,9 +118,17 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
             return pipeline.run_compact(spark, lake, pipeline.Lake(args.into.rstrip("/")))
         case "gold":
             return pipeline.run_gold(spark, lake)
+        case "refresh":
+            events, orders = events_table(lake.silver_events), orders_table(lake.silver_orders)
+            return refresh_gold(spark, events, orders, lake.gold("by_day"))
+        case "lost":
+            expected = read_table(spark, args.expected) if args.expected else None
+            ranges = lost_ranges(read_table(spark, lake.bronze, BRONZE), expected)
+            return overwrite_table(ranges, lake.gold("lost_ranges"))
         case "reviews":
             slices = dict(s.split("=", 1) for s in args.slices)
             limits = {"limit": args.limit, "title_chars": args.title_chars, "text_chars": args.text_chars}
+            limits["numbered"] = not args.unnumbered
             return pipeline.run_reviews(spark, lake, slices, **limits)
         case "sentiment":
             return pipeline.run_sentiment(spark, lake)
