@@ -182,6 +182,21 @@ def test_token_counts(odd, nothing):
     assert token_counts.count_tokens(nothing, path).count() == 0
 
 
+def test_token_counts_of_small_blocks_and_segments(odd, monkeypatch):
+    """Each distinct pre-token is counted in one segment, whatever the blocks; the same totals."""
+    path = queries.tokenizer(queries.PIECE_BPE)
+    whole = sorted(map(tuple, token_counts.count_tokens(odd, path).collect()), key=repr)
+    monkeypatch.setattr(token_counts, "CHUNK_CHARS", 30)
+    assert sorted(map(tuple, token_counts.count_tokens(odd.repartition(3), path, segment_words=2).collect()), key=repr) == whole
+    blocks = token_counts.frequency_blocks(odd.repartition(3), path)
+    asked = token_counts.word_requests(blocks, 7).collect()
+    place = {}
+    for r in asked:
+        for w in token_counts._unpack_words(r.data, r.n):
+            assert place.setdefault(w, r.segment) == r.segment
+    assert len({r.block for r in asked}) > 3
+
+
 def test_token_files(spark, odd, nothing, tmp_path):
     path = queries.tokenizer(queries.WORD_BPE)
     manifest = token_files.write_token_files(odd, path, f"file://{tmp_path}/files")
