@@ -116,3 +116,18 @@ def test_a_failing_table_leaves_the_run_before(spark, tmp_path):
     assert published_run(spark, root) == first
     assert set(read_published(spark, root)) == {t for t, _ in WAREHOUSE_TABLES.values()}
     assert publish_run(spark, gold, root) == published_run(spark, root) != first
+
+
+def test_setup_creates_what_is_missing(spark, tmp_path):
+    from tidemart.contracts import WAREHOUSE_TABLES
+    from tidemart.plans.pipeline import Lake, run_setup
+
+    lake = Lake(str(tmp_path))
+    extra = spark.createDataFrame([], f"{WAREHOUSE_TABLES['daily_sales'][1]}, note STRING")
+    extra.write.parquet(lake.gold("daily_sales"))
+    found = run_setup(spark, lake)
+    assert [d.column for d in found.pop("daily_sales")] == ["note"] and set(map(len, found.values())) == {0}
+    assert all(spark.read.parquet(lake.gold(name)).count() == 0 for name in WAREHOUSE_TABLES)
+    spark.createDataFrame([], "order_date DATE").write.mode("overwrite").parquet(lake.gold("daily_sales"))
+    with pytest.raises(schemas.SchemaMismatch, match="daily_sales.*missing"):
+        run_setup(spark, lake)

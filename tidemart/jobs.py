@@ -46,6 +46,7 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--root", required=True, help="folder of the lake")
     options.add_argument("--volume", type=int, help="bytes of the largest shuffle, to size partitions")
     jobs = options.add_subparsers(dest="job", required=True)
+    jobs.add_parser("setup", help="create the published tables that are not there; report how others differ")
     bronze = jobs.add_parser("bronze", help="land the topics")
     bronze.add_argument("--bootstrap", help="Kafka brokers")
     bronze.add_argument("--login", help="JSON file with username and password")
@@ -95,6 +96,8 @@ def parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, args: argparse.Namespace) -> object:
     lake = pipeline.Lake(args.root.rstrip("/"))
     match args.job:
+        case "setup":
+            return pipeline.run_setup(spark, lake)
         case "bronze":
             if args.files:
                 records = file_stream(spark, args.files)

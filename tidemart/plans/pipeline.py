@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemart.contracts import BRONZE
+from tidemart.contracts import BRONZE, WAREHOUSE_TABLES
 from tidemart.functions.sentiment import lexicon_sentiment, score_reviews
 from tidemart.operators.gold import daily_sales, funnel_daily, user_features
 from tidemart.operators.propensity import (
@@ -28,8 +28,9 @@ from tidemart.operators.propensity import (
 from tidemart.operators.reviews import load_reviews
 from tidemart.plans import marts, staging
 from tidemart.session import scratch_dir
-from tidemart.sinks.publish import Writer, export_files, overwrite_table, publish
+from tidemart.sinks.publish import Writer, ensure_table, export_files, overwrite_table, publish
 from tidemart.sources.kafka import file_stream
+from tidemart.sources.schemas import Difference
 from tidemart.sources.tables import read_table, spread
 from tidemart.streaming.bronze import start_bronze
 from tidemart.streaming.silver import compact, events_table, orders_table, start_silver
@@ -112,6 +113,11 @@ def run_compact(spark: SparkSession, lake: Lake, into: Lake) -> dict[str, int]:
     return merged
 
 
+def run_setup(spark: SparkSession, lake: Lake) -> dict[str, list[Difference]]:
+    """Create the published gold tables that are not there yet; how those that are differ from what is declared."""
+    return {name: ensure_table(spark, lake.gold(name), schema) for name, (_, schema) in WAREHOUSE_TABLES.items()}
+
+
 def run_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
     """Rebuild the gold aggregates and their single-file exports."""
     events = events_table(lake.silver_events).read(spark)
