@@ -25,7 +25,7 @@ they stay below 2**53, in Python integers beyond; totals are cut to 64 bits.
 Defined results: vectors that are NULL or hold a NULL or non-finite component,
 and rows with a NULL key, take no part; a query is compared with vectors of its
 own length only; rows that share the query's key are its own; repeated keys are separate candidates and
-separate queries give equal rows once; ties go to the smaller key; empty tables give no rows; extra columns are ignored.
+one query, that of the smallest vector; ties go to the smaller key; empty tables give no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -82,7 +82,8 @@ def packed(vectors: DataFrame, by_block: int | None = None) -> DataFrame:
 
     number = F.pmod(F.xxhash64("vec_id"), F.lit(by_block)).cast("int")
     return (
-        valid.dropDuplicates(["vec_id"])
+        valid.groupBy("vec_id")
+        .agg(F.min("embedding").alias("embedding"))
         .withColumn("query_block", number)
         .groupBy("query_block")
         .applyInPandas(gather, "query_block int, dimensions int, ids binary, matrix binary")
