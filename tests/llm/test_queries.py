@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from text_rows import SF, simhash_components, simhash_print, words
 
-from tidemart.llm import language, parsing, queries, sql, toxicity
+from tidemart.llm import language, lm, parsing, queries, sql, toxicity
 
 
 def crc(key, folds):
@@ -116,6 +116,42 @@ def test_base_scores_and_the_model(results, given):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_scores_by_brute_force(results, given):
+    """The model's formula over exact counts cut to their levels; only false levels of the filter may part them."""
+    docs = given("documents")
+    tokens = {d["doc_id"]: [*words(d["text"]), None] for d in docs}
+    learned = [ts for i, ts in tokens.items() if crc(i, 5) != 1]
+    ones = Counter(t for ts in learned for t in ts) + Counter({"": len(learned)})
+    twos = Counter(p for ts in learned for p in zip(["", *ts], ts))
+    n = sum(map(len, learned))
+    bottom = n + 0.5 * (len(ones) - 1 + 1)
+
+    def estimate(counts):
+        return lm.LEVEL_COUNT[lm.levels_of(np.array(counts, dtype=np.int64))]
+
+    apart = []
+    for row in results("op7_lm_scores"):
+        ts = tokens[row["doc_id"]]
+        pairs = list(zip(["", *ts], ts))
+        before = estimate([ones[v] for v, _ in pairs])
+        alone = np.minimum((estimate([ones[w] for _, w in pairs]) + 0.5) / bottom, 1)
+        both = np.minimum(estimate([twos[p] for p in pairs]), before)
+        expected = np.log10(np.minimum(1, (both + lm.MU * alone) / (before + lm.MU))).sum()
+        apart.append(abs(row["score"] - expected) / -expected)
+    assert np.mean(apart) < 0.005 and np.mean(np.array(apart) < 0.02) > 0.95
+
+
+def test_segments_follow_the_tokens(spark, odd, monkeypatch):
+    """Many small segments give the counts that one gives."""
+    def rows():
+        found = lm.score_documents(odd).select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score")
+        return sorted(map(tuple, found.collect()), key=str)
+
+    whole = rows()
+    monkeypatch.setattr(lm, "SEGMENT_TOKENS", 1000)
+    assert rows() == whole
+
+
 def test_parsing_fingerprints(results, given):
     docs = sorted(given("documents"), key=lambda d: d["doc_id"])
     rows = {r["doc_id"]: r for r in results("op8_parsing_fingerprints")}
