@@ -9,7 +9,7 @@ from dataclasses import asdict, dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Bucketizer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,6 +23,10 @@ FEATURES = ["sessions_30d", "events_30d", "cart_adds_30d"]
 LABEL = "did_purchase"
 SEED = 42
 
+# MLlib sees all rows up to this many when it chooses where features may be cut, and tries at most BINS - 1 cuts of each.
+EXACT_ROWS = 10_000
+BINS = 32
+
 # Distinct scores are ranked in this many slices.
 SCORE_SLICES = 512
 
@@ -72,13 +76,24 @@ def fit_propensity(training: DataFrame, settings: TreeSettings = TreeSettings())
     Users with the same counts and label are the same training example, so they
     are merged into one weighted row first: the loss is unchanged, while the
     data every boosting round passes over shrinks from users to distinct rows.
-    They are written out, so that no round goes back to the events.
+    They are written out, so that no round goes back to the events. More than ``EXACT_ROWS``
+    of them are merged once more by the bins of their features, at most ``BINS`` each: trees tell no more
+    values apart. So the rounds, which are many small jobs, pass over a bounded number of rows, in one task.
     """
     spark = training.sparkSession
     ensure_checkpoint_dir(spark)
     path = scratch_dir(spark, "training")
     training.groupBy(*FEATURES, LABEL).agg(F.count("*").alias("users")).write.parquet(path)
     merged = spark.read.parquet(path)
+    cuts = _feature_cuts(merged) if merged.count() > EXACT_ROWS else None
+    if cuts is not None:
+        # A bin is known by a value that lies in it, since the model cuts the features itself.
+        kept = [F.min(name).alias(name) for name in FEATURES]
+        merged = cuts.transform(merged).groupBy(*cuts.getOutputCols(), LABEL).agg(F.sum("users").alias("users"), *kept)
+        path = scratch_dir(spark, "binned")
+        merged.select(*FEATURES, LABEL, "users").write.parquet(path)
+        merged = spark.read.parquet(path)
+    merged = merged.coalesce(1)
     by_label = merged.groupBy(LABEL).agg(F.sum("users").alias("users"))
     sizes = {row[LABEL]: row["users"] for row in by_label.collect()}
     if len(sizes) < 2:
@@ -96,8 +111,29 @@ def fit_propensity(training: DataFrame, settings: TreeSettings = TreeSettings())
         maxDepth=settings.depth,
         seed=settings.seed,
     )
-    assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    return Pipeline(stages=[assemble, trees]).fit(weighted)
+    if cuts is None:
+        stages = [VectorAssembler(inputCols=FEATURES, outputCol="features")]
+    else:
+        # Bins are marked as categories; computed from, they are numbers in order.
+        ranks = ", ".join(f"{name}_bin + 0 AS {name}_rank" for name in FEATURES)
+        numbers = SQLTransformer(statement=f"SELECT *, {ranks} FROM __THIS__")
+        stages = [cuts, numbers, VectorAssembler(inputCols=[f"{name}_rank" for name in FEATURES], outputCol="features")]
+    return Pipeline(stages=[*stages, trees]).fit(weighted)
+
+
+def _feature_cuts(merged: DataFrame) -> Bucketizer:
+    """Every feature into at most ``BINS`` bins of about equally many users; values stay apart where they are few."""
+    shares = [i / BINS for i in range(1, BINS)]
+    quantiles = [F.percentile(name, shares, F.col("users")).alias(name) for name in FEATURES]
+    values = [F.count_distinct(name).alias(f"{name}_values") for name in FEATURES]
+    found = merged.agg(*quantiles, *values).first()
+    splits = []
+    for name in FEATURES:
+        inner = found[name]
+        if found[f"{name}_values"] <= BINS:
+            inner = [r[0] for r in merged.select(name).distinct().collect()]
+        splits.append([-math.inf, *sorted({float(value) for value in inner}), math.inf])
+    return Bucketizer(splitsArray=splits, inputCols=FEATURES, outputCols=[f"{name}_bin" for name in FEATURES])
 
 
 def predict(model: PipelineModel, users: DataFrame) -> DataFrame:

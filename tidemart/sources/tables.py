@@ -9,6 +9,9 @@ from pyspark.sql.types import StructType
 
 MISSING = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
 
+# The fullest of the tasks may read this many times its share before a table is spread.
+UNEVEN = 2
+
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """A Parquet table; a declared schema skips reading file footers to infer one."""
@@ -38,10 +41,13 @@ def spread(table: DataFrame, min_tasks: int) -> DataFrame:
     """A table scan over at least ``min_tasks`` tasks.
 
     For work that costs far more than the read (decoding, a model), on files too
-    few to occupy the executors. Larger tables already come in enough splits
-    and are not shuffled.
+    few to occupy the executors. A Parquet row group is read by one task, whatever
+    the number of splits, so the rows each task gets are counted, which reads no
+    column. Tables whose rows already come evenly in enough tasks are not shuffled.
     """
-    enough = table.rdd.getNumPartitions() >= min_tasks
+    held = table.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("rows"))
+    tasks, most, rows = held.agg(F.count("*"), F.max("rows"), F.sum("rows")).first()
+    enough = tasks >= min_tasks and most * min_tasks <= UNEVEN * rows
     return table if enough else table.repartition(min_tasks)
 
 
