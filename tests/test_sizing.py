@@ -1,10 +1,13 @@
 """Steps whose tasks must not grow with the tables."""
 
+from library_rows import SF_TINY
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import functions as F
 
+from tidemart import catalogue
 from tidemart.operators import propensity
 from tidemart.sources import tables
+from tidemart.sources import testdata as td
 
 
 def rows_by_task(table):
@@ -70,3 +73,18 @@ def test_boosting_passes_over_bounded_rows_in_one_task(spark, monkeypatch):
     assert rows.count() <= 320 and rows.rdd.getNumPartitions() == 1
     assert rows.agg(F.sum("users")).first()[0] == 2000
     assert propensity.predict(model, users).where("propensity_score BETWEEN 0 AND 1").count() == 2000
+
+
+def sorted_rows(table):
+    return sorted(map(tuple, table.collect()), key=str)
+
+
+def test_line_orders_shuffle_by_rows(spark, monkeypatch):
+    few = sorted_rows(catalogue.daily_sales_tpch(spark, SF_TINY))
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 500)
+    lines = td.line_orders(spark, SF_TINY)
+    assert lines.rdd.getNumPartitions() == tables.shuffle_tasks(
+        *[td.table(spark, SF_TINY, name) for name in ("lineitem", "orders", "part")]
+    )
+    assert max(rows_by_task(lines)) < 2000
+    assert sorted_rows(catalogue.daily_sales_tpch(spark, SF_TINY)) == few

@@ -11,6 +11,8 @@ MISSING = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
 
 # The fullest of the tasks may read this many times its share before a table is spread.
 UNEVEN = 2
+# A task of a sized shuffle gets about this many rows.
+ROWS_PER_TASK = 250_000
 
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -51,6 +53,14 @@ def spread(table: DataFrame, min_tasks: int) -> DataFrame:
     return table if enough else table.repartition(min_tasks)
 
 
+def shuffle_tasks(*tables: DataFrame) -> int:
+    """The tasks a shuffle of stored tables takes with at most ``ROWS_PER_TASK`` rows each, by their row counts.
+
+    A count reads no column.
+    """
+    return -(-sum(table.count() for table in tables) // ROWS_PER_TASK)
+
+
 def read_typed(spark: SparkSession, path: str, columns: str) -> DataFrame:
     """Columns of staged files cast to a declared schema; a bad value is an error.
 

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from tidemart.contracts import CATEGORIES, DEVICES, KAFKA_RECORD, REVIEW_SOURCE
 from tidemart.operators.silver import clean_events, parse_events, split_orders
-from tidemart.sources.tables import read_table, spread
+from tidemart.sources.tables import read_table, shuffle_tasks, spread
 from tidemart.streaming.routing import route_events
 
 # --- fixed values: the word list that scores the invented prose of `documents`,
@@ -240,14 +240,27 @@ def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`lineitem` with its order date and part type, in the silver order shape.
 
     Order keys repeat across lines and categories here, so counts must be
-    distinct ones.
+    distinct ones. Tables too large for the session's shuffle partitions are shuffled into as
+    many as their rows need, and joined by hashing the parts and orders of a partition, so a task's
+    memory does not depend on the tables.
     """
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     parts = table(spark, sf_dir, "part")
+    tasks = shuffle_tasks(lines, orders, parts)
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        parts = parts.repartition(tasks, "p_partkey").hint("shuffle_hash")
+        orders = orders.repartition(tasks, "o_orderkey").hint("shuffle_hash")
+        typed = lines.repartition(tasks, "l_partkey").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        lines = typed.repartition(tasks, "l_orderkey")
+        return _line_orders(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
     joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
         orders, F.col("l_orderkey") == F.col("o_orderkey")
     )
+    return _line_orders(joined)
+
+
+def _line_orders(joined: DataFrame) -> DataFrame:
     return joined.select(
         F.col("l_orderkey").alias("order_id"),
         F.to_date("o_orderdate").alias("event_date"),
