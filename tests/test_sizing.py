@@ -88,3 +88,13 @@ def test_line_orders_shuffle_by_rows(spark, monkeypatch):
     )
     assert max(rows_by_task(lines)) < 2000
     assert sorted_rows(catalogue.daily_sales_tpch(spark, SF_TINY)) == few
+
+
+def test_unnumbered_slices_have_files_by_bytes(spark, monkeypatch, tmp_path):
+    few = sorted_rows(catalogue.load_unnumbered_reviews(spark, SF_TINY))
+    text_bytes = td.table(spark, SF_TINY, "documents").agg(F.sum(F.octet_length("text"))).first()[0]
+    monkeypatch.setattr(td, "BYTES_PER_TASK", text_bytes // 6)
+    folders = td.write_unnumbered_slices(spark, SF_TINY, f"{tmp_path}/slices")
+    files = {f.rsplit("/", 1)[1].split("-")[1] for path in folders.values() for f in spark.read.parquet(path).inputFiles()}
+    assert len(files) >= 10
+    assert sorted_rows(catalogue.load_unnumbered_reviews(spark, SF_TINY)) == few

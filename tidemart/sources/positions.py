@@ -30,7 +30,8 @@ def read_numbered(spark: SparkSession, path: str, schema: str, fmt: str = "parqu
             return spark.createDataFrame([], f"{schema}, {name} BIGINT")
         scan = scan.where(F.col("__file").isin(leading))
     position = F.col("base") + F.col("__row") - F.col("first")
-    numbered = scan.join(bases.select(*_PLACE, "first", "base"), _PLACE).withColumn(name, position)
+    # One row per file, so the records are not shuffled.
+    numbered = scan.join(F.broadcast(bases.select(*_PLACE, "first", "base")), _PLACE).withColumn(name, position)
     if limit is not None:
         numbered = numbered.where(F.col(name) < limit)
     return numbered.drop(*_PLACE, "__row", "first", "base")

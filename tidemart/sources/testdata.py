@@ -300,8 +300,17 @@ def write_review_slices(spark: SparkSession, sf_dir: str, path: str) -> dict[str
     return {category: f"{path}/product_category={category}" for category in CATEGORIES}
 
 
+# A task that writes review records gets about this many bytes of text.
+BYTES_PER_TASK = 128 * 1024 * 1024
+
+
 def write_unnumbered_slices(spark: SparkSession, sf_dir: str, path: str, files: int = 5) -> dict[str, str]:
-    """The review records in their order, without it: several files per category; category -> folder."""
+    """The review records in their order, without it: several files per category; category -> folder.
+
+    More than ``files`` where the texts, each in a record twice, would be too many for one task.
+    """
+    text_bytes = table(spark, sf_dir, "documents").agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(files, -(-2 * text_bytes // BYTES_PER_TASK))
     ordered = review_records(spark, sf_dir).repartitionByRange(files, "seq").sortWithinPartitions("product_category", "seq")
     ordered.drop("seq").write.partitionBy("product_category").parquet(path)
     return {category: f"{path}/product_category={category}" for category in CATEGORIES}
