@@ -8,6 +8,7 @@ from tidemart import catalogue
 from tidemart.operators import propensity
 from tidemart.sources import tables
 from tidemart.sources import testdata as td
+from tidemart.streaming import key_index
 
 
 def rows_by_task(table):
@@ -98,3 +99,16 @@ def test_unnumbered_slices_have_files_by_bytes(spark, monkeypatch, tmp_path):
     files = {f.rsplit("/", 1)[1].split("-")[1] for path in folders.values() for f in spark.read.parquet(path).inputFiles()}
     assert len(files) >= 10
     assert sorted_rows(catalogue.load_unnumbered_reviews(spark, SF_TINY)) == few
+
+
+def test_a_batch_before_any_stored_key_is_not_probed(spark, monkeypatch, tmp_path):
+    def refuse(*_):
+        raise AssertionError("probed")
+
+    index = key_index.KeyIndex(f"{tmp_path}/index", "event_id", 4)
+    batch = spark.range(50).select(F.concat(F.lit("k"), "id").alias("event_id"))
+    with monkeypatch.context() as patch:
+        patch.setattr(key_index, "probed", refuse)
+        assert index.possible(batch, F.lit(False)).count() == 0
+    index.add(batch.select("event_id", F.lit("s").alias("stream_id"), F.lit(0).cast("bigint").alias("batch_id")))
+    assert index.possible(batch, F.lit(False)).count() == 50

@@ -79,7 +79,11 @@ class KeyIndex:
     def possible(self, batch: DataFrame, replaced: Column) -> DataFrame:
         """The stored keys of all folders that may hold a key of the batch, except the ``replaced`` ones."""
         spark = batch.sparkSession
-        hits = probed(self.filters(spark).where(~replaced), batch, self.key, self.bucket())
+        stored = self.filters(spark).where(~replaced)
+        if stored.isEmpty():
+            # Nothing to probe, so the batch's keys need not go through the filters.
+            return self.keys(spark).where(F.lit(False)).select(self.key)
+        hits = probed(stored, batch, self.key, self.bucket())
         # One row per folder with a hit; a batch of new keys has few.
         place = [*LINEAGE, "bucket"]
         folders = [tuple(r) for r in hits.select(*place).distinct().collect()]
@@ -121,13 +125,14 @@ def bloom_filters(keys: DataFrame, key: str) -> DataFrame:
 
 def probed(filters: DataFrame, batch: DataFrame, key: str, bucket: Column) -> DataFrame:
     """(key, stream_id, batch_id, bucket): keys of the batch with each folder whose filter holds them."""
-    seeds = F.array(*[key_hash(F.col(key), i + 1) for i in range(PROBES)])
-    asked = batch.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias(key), bucket.alias("bucket"), seeds.alias("seeds"))
+    names_of_seeds = [f"__seed_{i + 1}" for i in range(PROBES)]
+    seeds = [key_hash(F.col(key), i + 1).alias(name) for i, name in enumerate(names_of_seeds)]
+    asked = batch.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias(key), bucket.alias("bucket"), *seeds)
 
     def probe(stored: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
         found: dict[str, list] = {c: [] for c in (key, *LINEAGE, "bucket")}
         if len(stored) and len(keys):
-            names, seeds = keys[key].to_numpy(dtype=object), np.stack(keys["seeds"].to_numpy())
+            names, seeds = keys[key].to_numpy(dtype=object), keys[names_of_seeds].to_numpy()
             for row in stored.itertuples(index=False):
                 table = np.zeros(row.bits // WORD_BITS, dtype=np.int64)
                 for word in row.words:
